@@ -71,9 +71,9 @@ def mix(docs: DataFrame, size: str = "size", source: str = "source", doc_id: str
     return out.select(*docs.columns, "mix_source_size", "mix_target", "mix_taken", "mix_key")
 
 
-def sized(docs: DataFrame, text: str = "text") -> DataFrame:
+def sized(docs: DataFrame, text: str = "text", size: str = "size") -> DataFrame:
     """docs with `size`: the number of words in the whole text, 0 for a null text."""
-    return docs.withColumn("size", F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long"))
+    return docs.withColumn(size, F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long"))
 
 
 def op8(spark, sf_dir: str) -> DataFrame:

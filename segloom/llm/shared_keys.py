@@ -99,3 +99,47 @@ def shared_keys(docs: DataFrame, keys_of: Callable[[pa.Array], tuple[np.ndarray,
         return pa.table({"doc_id": pa.array(doc[at], pa.int64()), "keys": pa.array([planes(key[a:b], BITS // 8) for a, b in zip(at, [*at[1:], len(doc)], strict=True)], pa.binary())})
 
     return docs.select("doc_id", "text").mapInArrow(send, SCHEMA).groupBy("bucket").applyInArrow(settle, "doc_id long, keys binary")
+
+
+def star_pairs(rows: DataFrame, keys_of: Callable[[pa.Array], tuple[np.ndarray, np.ndarray]], buckets: int) -> DataFrame:
+    """(src, dst), long: each id with the smallest id that has one of its keys; repeated.
+
+    rows: an id, long and not null, and a column for keys_of. A batch pairs its own ids with the smallest of them, which alone is
+    sent on, so a hot key sends one entry a batch; and so a key's ids hang together over two steps.
+    """
+
+    def star(key: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids and keys by key and id, and where a key's smallest id stands."""
+        order = np.lexsort((doc, key))
+        key, doc = key[order], doc[order]
+        first = np.concatenate([[True], key[1:] != key[:-1]])
+        return key, doc, np.maximum.accumulate(np.where(first, np.arange(len(key)), 0))
+
+    def edges(doc: np.ndarray, head: np.ndarray) -> np.ndarray:
+        pair = np.stack([doc, doc[head]], 1)
+        return np.unique(pair[pair[:, 0] != pair[:, 1]], axis=0)
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            row, key = keys_of(b.column(1))
+            if not len(row):
+                continue
+            key, doc, head = star(key, b.column(0).to_numpy()[row])
+            own = head == np.arange(len(head))
+            pair = edges(doc, head)
+            out = [(i, False, planes(key[own][at], BITS // 8), planes(doc[own][at], 8)) for i, at in by_bucket(bucket_of(key[own], buckets))]
+            if len(pair):
+                out += [(i, True, planes(pair[at, 0], 8), planes(pair[at, 1], 8)) for i, at in by_bucket((pair[:, 0].view(np.uint64) % np.uint64(buckets)).astype(np.int64))]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int32(), pa.bool_(), pa.binary(), pa.binary()), strict=True)], names=["bucket", "known", "a", "b"])
+
+    def settle(group: pa.Table) -> pa.Table:
+        found = group.to_pylist()
+        out = [np.stack([unplanes(r["a"], 8), unplanes(r["b"], 8)], 1) for r in found if r["known"]]
+        sent = [r for r in found if not r["known"]]
+        if sent:
+            _, doc, head = star(np.concatenate([unplanes(r["a"], BITS // 8) for r in sent]), np.concatenate([unplanes(r["b"], 8) for r in sent]))
+            out.append(edges(doc, head))
+        pair = np.unique(np.concatenate(out), axis=0)
+        return pa.table({"src": pair[:, 0], "dst": pair[:, 1]})
+
+    return rows.mapInArrow(send, "bucket int, known boolean, a binary, b binary").groupBy("bucket").applyInArrow(settle, "src long, dst long")

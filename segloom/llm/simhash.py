@@ -155,3 +155,94 @@ def near_duplicates(docs: DataFrame, radius: int = 4, width: int = 4, doc_id: st
 def op5(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     return near_duplicates(docs).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+#: Fingerprints of a document's set of words; each is looked up within SET_RADIUS.
+SETS, SET_RADIUS = 6, 4
+_ODD = np.random.default_rng(5).integers(0, 2**63, 2 * SETS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
+
+def word_set_prints(text: bytes) -> tuple[bytes, np.ndarray]:
+    """Digest of a text's words in order, and SETS fingerprints of their set; A-Z in lower case."""
+    words = text.lower().split()
+    h = np.fromiter(map(xxhash.xxh3_64_intdigest, set(words)), np.uint64)
+    return xxhash.xxh3_128_digest(b" ".join(words)), np.concatenate([fingerprint_of(_mixed(h, i), np.array([0, len(h)])) for i in range(SETS)])
+
+
+def _mixed(h: np.ndarray, i: int) -> np.ndarray:
+    x = (h ^ _ODD[2 * i]) * _ODD[2 * i + 1]
+    x ^= x >> np.uint64(32)
+    x = x * _ODD[i]
+    return x ^ (x >> np.uint64(29))
+
+
+def mask_keys(prints: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
+    """(row, 64-bit key) of every fingerprint under every covering mask; prints has a row of fingerprints for each document."""
+    n, sets = prints.shape
+    out = []
+    for s in range(sets):
+        for i, m in enumerate(np.array(masks(radius), np.int64).view(np.uint64)):
+            x = ((prints[:, s] & m) ^ np.uint64(s * 1024 + i + 1)) * _ODD[0]
+            x ^= x >> np.uint64(31)
+            x *= _ODD[1]
+            out.append(x ^ (x >> np.uint64(33)))
+    return np.tile(np.arange(n), len(out)), np.concatenate(out).view(np.int64) if out else np.zeros(0, np.int64)
+
+
+def shingle_set(text: bytes, width: int) -> bytes:
+    """Sorted distinct 32-bit hashes of the word shingles; a shorter text is one shingle."""
+    words = text.lower().split()
+    h = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+    n = max(1, len(words) - width + 1)
+    out = np.zeros(n, np.uint64)
+    for i in range(min(width, len(words))):
+        out += h[i : i + n] * _ODD[i]
+    return np.unique((out >> np.uint64(32)).astype(np.uint32)).tobytes()
+
+
+def similar_documents(docs: DataFrame, width: int = 5, least: float = 0.8) -> DataFrame:
+    """(doc_id, component_id): near duplicates by the Jaccard similarity of their sets of `width`-word shingles, `least` or more.
+
+    Fingerprints of five-word shingles of such pairs differ in ten bits of 64 or more, too many to cover. Those of the sets of
+    words differ in four or five; SETS independent ones are each covered within SET_RADIUS, and a pair is a candidate if one of
+    them is. Each document is paired with the smallest doc_id under each of its keys, not with all of them, and pairs are
+    verified on their shingles. Texts of the same words in the same order are one node and never paired. component_id is the
+    smallest doc_id reachable. Null texts are empty; rows with a null doc_id are not compared.
+    """
+    from segloom.llm.shared_keys import SPREAD, star_pairs
+
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).where("doc_id is not null")
+    buckets = SPREAD * shuffle_width(docs.sparkSession)
+
+    def prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            got = [word_set_prints(t.as_buffer().to_pybytes()) for t in b.column(1)]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([g[0] for g in got], pa.binary()), pa.array([g[1].tobytes() for g in got], pa.binary())], names=["doc_id", "digest", "prints"])
+
+    def keys_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        return mask_keys(np.frombuffer(b"".join(column.to_pylist()), np.uint64).reshape(-1, SETS), SET_RADIUS)
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([shingle_set(t.as_buffer().to_pybytes(), width) for t in b.column(1)], pa.binary())], names=["node", "shingles"])
+
+    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            good = []
+            for x, y in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True):
+                x, y = np.frombuffer(x, np.uint32), np.frombuffer(y, np.uint32)
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                good.append(both >= least * (len(x) + len(y) - both))
+            keep = pa.array(good, pa.bool_())
+            yield pa.RecordBatch.from_arrays([b.column(0).filter(keep), b.column(1).filter(keep)], names=["src", "dst"])
+
+    table = cut(docs.mapInArrow(prints, "doc_id long, digest binary, prints binary"), "wordsets")
+    nodes = table.groupBy("digest").agg(F.min("doc_id").alias("node"), F.min("prints").alias("prints"))
+    pairs = cut(star_pairs(nodes.select("node", "prints"), keys_of, buckets).distinct(), "pairs")
+    ends = pairs.select(F.col("src").alias("doc_id")).unionByName(pairs.select(F.col("dst").alias("doc_id"))).distinct()
+    shingles = cut(docs.join(ends, "doc_id", "left_semi").mapInArrow(sets, "node long, shingles binary").dropDuplicates(["node"]), "shingles")
+    left, right = (shingles.select(F.col("node").alias(c), F.col("shingles").alias(f"s_{c}")) for c in ("src", "dst"))
+    links_ = pairs.join(left, "src").join(right, "dst").select("src", "dst", "s_src", "s_dst").mapInArrow(verify, "src long, dst long")
+    joined = components(links_)
+    named = table.groupBy("digest").agg(F.min("doc_id").alias("node")).join(joined, "node", "left").select("digest", F.coalesce("component", "node").alias("component_id"))
+    return table.select("doc_id", "digest").join(named, "digest").select("doc_id", "component_id")
