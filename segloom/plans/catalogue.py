@@ -1,6 +1,6 @@
 """All named queries of the library."""
 
-from segloom.plans import streams, timelines
+from segloom.plans import states, streams, timelines
 from segloom.plans.registry import ORACLES, QUERIES
 
-__all__ = ["ORACLES", "QUERIES", "streams", "timelines"]
+__all__ = ["ORACLES", "QUERIES", "states", "streams", "timelines"]
