@@ -30,5 +30,8 @@ def opening(text: Column, n: int = 8) -> Column:
 
 def ngrams(words: Column, n: int = 4) -> Column:
     """Distinct runs of n words; a shorter text is one gram, an empty one has none."""
-    many = F.transform(F.sequence(F.lit(0), F.size(words) - n), lambda i: F.array_join(F.slice(words, i + 1, n), " "))
+    count = F.greatest(F.size(words) - n + 1, F.lit(0))
+    many = F.slice(words, 1, count)
+    for i in range(1, n):  # shifted copies side by side; `words` itself stays out of the lambdas, which would evaluate it for each gram
+        many = F.zip_with(many, F.slice(words, i + 1, count), lambda a, b: F.concat_ws(" ", a, b))
     return F.when(F.size(words) >= n, F.array_distinct(many)).when(F.size(words) > 0, F.array(F.array_join(words, " "))).otherwise(F.array().cast("array<string>"))
