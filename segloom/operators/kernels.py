@@ -180,7 +180,7 @@ def combine(cluster: Sequence[dict]) -> dict:
         "types": tuple(sorted({t for e in cluster for t in e["types"]})),
         "strong": bool(strong),
         "strength": max(e["strength"] for e in cluster),
-        "support": [m for e in cluster for m in e.get("support", [e])],
+        "support": list(cluster),
     }
 
 

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from segloom.functions.arrays import dot, log_delta, minus, norm, parts, quaternion_angle
+from segloom.operators import kernels
+from segloom.operators.segmentation import propose, segment_episode
 from segloom.operators.windows import along, moving_sum, sign_continuity
 from segloom.plans.registry import query
 from segloom.sources.tables import VECTORS, vectors
@@ -188,3 +191,30 @@ def numeric_gate(spark, root):
     grip = F.get("x", F.lit(GRIP))
     codes = F.array(F.when(F.size("x") != 16, "shape"), F.when(dot(q, q) == 0, "zero_quaternion"), F.when(F.abs(dot(q, q) - 1_000_000_000_000) > 980_000_000_000, "quaternion_norm"), F.when(~grip.between(-200_000, 200_000), "gripper_range"))
     return vectors(spark, root).select("episode", F.explode(F.filter(codes, lambda c: c.isNotNull())).alias("code")).groupBy("episode", "code").agg(F.count("*").alias("n"))
+
+
+def _episode(x):
+    return np.array(x, float) / 1e6
+
+
+@query("segment_episode_16d")
+def segment_episode_16d(spark, root):
+    """SEG-04, with SEG-02, SEG-03, SEG-05, WIN-13, WIN-15, WIN-17, JOIN-15 and ROW-17 inside: one kernel call an episode."""
+
+    def kernel(_, x):
+        found = segment_episode(_episode(x))
+        return [(i, s["start"], s["end"], s["left"], s["right"], s["label"], s["relation"], len(s["members"])) for i, s in enumerate(found)]
+
+    schema = "episode long, segment long, start_frame long, end_frame long, left_action string, right_action string, label string, relation string, pieces long"
+    return kernels.per_episode(vectors(spark, root), kernel, schema, ["episode"], "frame", ["frame", "x"])
+
+
+@query("recovery_proposals")
+def recovery_proposals(spark, root):
+    """SEG-09, SEG-10, WIN-23, WIN-24, WIN-25."""
+
+    def kernel(frame, x):
+        cuts = propose(_episode(x), 0.1 * np.array(frame, float), (7, 15))
+        return [(i, a, b - 1) for i, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False))]
+
+    return kernels.per_episode(vectors(spark, root), kernel, "episode long, segment long, start_frame long, end_frame long", ["episode"], "frame", ["frame", "x"])
