@@ -12,51 +12,114 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from segloom.llm.common import cut
+from segloom.llm.common import cut, spans_of, text_bytes
 
 LIMIT = 4096
 #: Lengths are grouped in classes of so many tokens for the linear program, which so has LIMIT / WIDTH rows at most.
 WIDTH = 16
 #: Pieces of one class that one task ranks at a time.
 BUCKET_ROWS = 20_000
-#: Words whose ids a worker remembers; longer words are not kept.
-WORDS, LONGEST = 150_000, 48
+#: Words whose ids a worker remembers in each of two generations; longer words are not kept. Bytes of text encoded at once.
+WORDS, LONGEST, TOGETHER = 300_000, 40, 4 << 20
+#: Marks that may end a word of letters and are then a token run of their own.
+MARKS = ".,!?;:%&*$#|"
 
-_TOKENIZERS: dict[str, tuple] = {}
 
+class Encoder:
+    """Ids of whole texts as little-endian unsigned 32-bit integers, for vocabularies with word ends.
 
-def _worker(path: str) -> tuple:
-    """Tokenizer and word cache of this worker process."""
-    if path not in _TOKENIZERS:
+    Such a vocabulary drops white space and case and never joins what white space separates, so a text is put in lower case (A-Z),
+    split at ASCII white space, and each distinct word is encoded once. Words of letters are looked up without the marks after
+    them, and those not yet known are encoded in one string: each gives exactly one id that ends a word, which tells them apart.
+    """
+
+    def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        _TOKENIZERS[path] = (Tokenizer.from_file(path), {})
-    return _TOKENIZERS[path]
-
-
-def encode(text: bytes, path: str) -> bytes:
-    """Ids of a whole text as little-endian unsigned 32-bit integers.
-
-    For vocabularies that drop white space and never join what it separates: the text is split at ASCII white space and each
-    distinct word is encoded once, with a bounded cache.
-    """
-    tokenizer, known = _worker(path)
-    words = text.split()
-    new = [w for w in set(words) if w not in known]
-    if len(known) + len(new) > WORDS:
-        known.clear()
-        new = list(set(words))
-    got = known
-    if new:
-        ids = [np.array(e.ids, "<u4").tobytes() for e in tokenizer.encode_batch([w.decode() for w in new], add_special_tokens=False)]
-        fresh = dict(zip(new, ids, strict=True))
-        known.update({w: i for w, i in fresh.items() if len(w) <= LONGEST})
-        got = fresh if len(new) == len(set(words)) else {**{w: known[w] for w in set(words) - fresh.keys()}, **fresh}
-    return b"".join([got[w] for w in words])
+        self.tokenizer = Tokenizer.from_file(path)
+        ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        suffix = self.tokenizer.model.end_of_word_suffix
+        for token, i in self.tokenizer.get_vocab(with_added_tokens=False).items():
+            ends[i] = bool(suffix) and token.endswith(suffix)
+        self.ends = ends
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def _plain(self, words: list[str]) -> list[bytes]:
+        """Ids of each word."""
+        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+
+    def _letters(self, words: list[str]) -> list[bytes]:
+        """Ids of words of letters, encoded together."""
+        ids = np.array(self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, "<u4")
+        stops = np.nonzero(self.ends[ids])[0] + 1
+        if len(stops) != len(words):
+            return self._plain(words)
+        raw, at = ids.tobytes(), [0, *(4 * stops).tolist()]
+        return [raw[a:b] for a, b in zip(at, at[1:], strict=False)]
+
+    def words(self, words: list[str]) -> list[bytes]:
+        """Ids of each of the distinct words. What is looked up and remembered is a word without the marks after its letters."""
+        young, old, got, new = self.young, self.old, [], []
+        for i, w in enumerate(words):
+            ids = young.get(w)
+            if ids is None:
+                ids = old.get(w)
+                if ids is None:
+                    new.append(i)
+                else:
+                    young[w] = ids
+            got.append(ids)
+        parts, asked = [], {}
+        for i in new:
+            w = words[i]
+            core = w.rstrip(MARKS)
+            core, marks = (core, w[len(core) :]) if core.isalpha() else (w, "")
+            parts.append((i, core, marks))
+            for x in (core, marks):
+                if x and x not in asked:
+                    asked[x] = young.get(x) or old.get(x)
+        unknown = [w for w, ids in asked.items() if ids is None]
+        letters = [w for w in unknown if w.isalpha()]
+        others = [w for w in unknown if not w.isalpha()]
+        fresh = dict(zip(letters, self._letters(letters), strict=True)) if letters else {}
+        fresh |= dict(zip(others, self._plain(others), strict=True)) if others else {}
+        asked |= fresh
+        young.update((w, i) for w, i in fresh.items() if len(w) <= LONGEST)
+        for i, core, marks in parts:
+            got[i] = asked[core] + (asked[marks] if marks else b"") if core else b""
+        if len(young) > WORDS:
+            self.old, self.young = young, {}
+        return got
+
+    def texts(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, one after the other, and where each text's begin and end; a null has none."""
+        lists = pc.ascii_split_whitespace(pc.ascii_lower(column.fill_null("")))
+        coded = lists.flatten().dictionary_encode()
+        ids = self.words(coded.dictionary.to_pylist())
+        size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        flat, first = np.frombuffer(b"".join(ids), "<u4"), np.cumsum(size) - size
+        word = coded.indices.to_numpy(zero_copy_only=False)
+        n = size[word]
+        stop = np.cumsum(n)
+        out = flat[np.repeat(first[word] - (stop - n), n) + np.arange(stop[-1] if len(stop) else 0)]
+        edge = np.concatenate([[0], np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False))])
+        return out, np.concatenate([[0], stop])[edge]
+
+
+_ENCODERS: dict[str, Encoder] = {}
+
+
+def encoder(path: str) -> Encoder:
+    """The encoder of this worker process."""
+    if path not in _ENCODERS:
+        _ENCODERS[path] = Encoder(path)
+    return _ENCODERS[path]
 
 
 def pieces(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text", limit: int = LIMIT, end: int = 2) -> DataFrame:
@@ -68,14 +131,18 @@ def pieces(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text
     stop = np.array([end], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of = encoder(path)
         for b in batches:
+            keys, (_, at) = b.column(0).to_pylist(), text_bytes(b.column(1))
             out: list[list] = [[], [], [], [], []]
-            for key, t in zip(b.column(0), b.column(1), strict=True):
-                ids = (encode(t.as_buffer().to_pybytes(), path) if t.is_valid else b"") + stop
-                for at in range(0, len(ids), 4 * limit):
-                    part = ids[at : at + 4 * limit]
-                    for column, value in zip(out, (key.as_py(), at // 4, len(part) // 4, zlib.crc32(part), len(ids) // 4), strict=True):
-                        column.append(value)
+            for i, j in spans_of(at, TOGETHER):
+                all_ids, edge = of.texts(b.column(1).slice(i, j - i))
+                for key, a, z in zip(keys[i:j], edge[:-1], edge[1:], strict=True):
+                    ids = all_ids[a:z].tobytes() + stop
+                    for k in range(0, len(ids), 4 * limit):
+                        part = ids[k : k + 4 * limit]
+                        for column, value in zip(out, (key, k // 4, len(part) // 4, zlib.crc32(part), len(ids) // 4), strict=True):
+                            column.append(value)
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], names=["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
 
     return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long")
