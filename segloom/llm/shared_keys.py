@@ -10,10 +10,11 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 
 #: Bits of a key that are compared within a bucket. Keys that are equal in these by chance only cost a closer look.
-BITS = 40
+BITS = 32
 #: Parts that one task's exchange is packed in, for each partition after it.
 SPREAD = 4
 
@@ -23,6 +24,33 @@ def planes(values: np.ndarray, width: int) -> bytes:
     return np.ascontiguousarray(values.astype("<i8").view(np.uint8).reshape(-1, 8)[:, :width].T).tobytes()
 
 
+def squeezed(raw: bytes) -> bytes:
+    """Compressed bytes; an exchange compresses too, but by far less."""
+    return zstandard.compress(raw, 3)
+
+
+def expanded(raw: bytes) -> bytes:
+    return zstandard.decompress(raw)
+
+
+def squeezed_text(docs: DataFrame, text: str = "text") -> DataFrame:
+    """docs with `text` as compressed UTF-8 bytes, for an exchange; null stays null."""
+    names = docs.columns
+    schema = ", ".join(f"`{c}` {'binary' if c == text else docs.schema[c].dataType.simpleString()}" for c in names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            small = pa.array([squeezed(t.as_buffer()) if t.is_valid else None for t in b.column(text)], pa.binary())
+            yield pa.RecordBatch.from_arrays([small if c == text else b.column(c) for c in names], names=names)
+
+    return docs.mapInArrow(run, schema)
+
+
+def expanded_text(column: pa.Array) -> pa.Array:
+    """The bytes of a column of squeezed_text()."""
+    return pa.array([expanded(t.as_buffer()) if t.is_valid else None for t in column], pa.binary())
+
+
 def unplanes(raw: bytes, width: int) -> np.ndarray:
     out = np.zeros((len(raw) // width, 8), np.uint8)
     out[:, :width] = np.frombuffer(raw, np.uint8).reshape(width, -1).T
@@ -31,6 +59,8 @@ def unplanes(raw: bytes, width: int) -> np.ndarray:
 
 def by_bucket(bucket: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
     """(bucket, indices), each bucket once; indices keep their order."""
+    if not len(bucket):
+        return
     order = np.argsort(bucket, kind="stable")
     cuts = np.nonzero(np.diff(bucket[order], prepend=-1))[0]
     for a, b in zip(cuts, [*cuts[1:], len(order)], strict=True):
@@ -73,19 +103,21 @@ def shared_keys(docs: DataFrame, keys_of: Callable[[pa.Array], tuple[np.ndarray,
                     where = (d.view(np.uint64) % np.uint64(buckets)).astype(np.int64)
                 else:
                     where = bucket_of(k, buckets)
-                out += [(i, known, planes(k[at], BITS // 8), planes(d[at], 8), np.packbits(m[at]).tobytes()) for i, at in by_bucket(where)]
+                order = np.argsort(d, kind="stable")  # ids in order take few bytes
+                k, d, m = k[order], d[order], m[order]
+                out += [(i, known, planes(k[at], BITS // 8), squeezed(planes(d[at], 8)), np.packbits(m[at]).tobytes()) for i, at in by_bucket(where[order])]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int32(), pa.bool_(), pa.binary(), pa.binary(), pa.binary()), strict=True)], names=["bucket", "known", "keys", "docs", "many"])
 
     def settle(group: pa.Table) -> pa.Table:
         rows = group.to_pylist()
         said = [r for r in rows if r["known"]]
         key = [unplanes(r["keys"], BITS // 8) for r in said]
-        doc = [unplanes(r["docs"], 8) for r in said]
+        doc = [unplanes(expanded(r["docs"]), 8) for r in said]
         asked = [r for r in rows if not r["known"]]
         if asked:
             k = np.concatenate([unplanes(r["keys"], BITS // 8) for r in asked])
-            d = np.concatenate([unplanes(r["docs"], 8) for r in asked])
-            m = np.concatenate([np.unpackbits(np.frombuffer(r["many"], np.uint8), count=len(r["docs"]) // 8) for r in asked])
+            d = np.concatenate([unplanes(expanded(r["docs"]), 8) for r in asked])
+            m = np.concatenate([np.unpackbits(np.frombuffer(r["many"], np.uint8), count=len(r["keys"]) // (BITS // 8)) for r in asked])
             order = np.argsort(k, kind="stable")
             k, d, m = k[order], d[order], m[order]
             size = np.diff(np.concatenate([np.nonzero(np.concatenate([[True], k[1:] != k[:-1]]))[0], [len(k)]]))

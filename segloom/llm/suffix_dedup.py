@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from segloom.llm.common import cut, shuffle_width, text_bytes
-from segloom.llm.shared_keys import BITS, SPREAD, bucket_of, by_bucket, planes, shared_keys, unplanes
+from segloom.llm.shared_keys import BITS, SPREAD, bucket_of, by_bucket, expanded, expanded_text, planes, shared_keys, squeezed, squeezed_text, unplanes
 
 WINDOW, PIECE = 50, 24
 #: Window starts that are worked on at once; a document may go over several steps.
@@ -61,8 +61,10 @@ def runs(data: np.ndarray, at: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
         k = np.minimum(k[: len(k) - (span - 16)], k[span - 16 :])  # least of `span` pieces, for each window
         n = len(part) - WINDOW + 1
         pos = (k[:n] & low).astype(np.int64)
-        row = np.searchsorted(at, np.arange(start, start + n), "right") - 1
-        pos[at[row + 1] < np.arange(start, start + n) + WINDOW] = -1  # it would go on in the next row
+        a = int(np.searchsorted(at, start, "right")) - 1
+        b = int(np.searchsorted(at, start + n, "left"))
+        row = np.repeat(np.arange(a, b), np.diff(np.clip(at[a : b + 1], start, start + n)))
+        pos[np.repeat(at[a + 1 : b + 1], np.diff(np.clip(at[a : b + 1], start, start + n))) < np.arange(start, start + n) + WINDOW] = -1  # it would go on in the next row
         turn = np.nonzero(np.concatenate([[True], (pos[1:] != pos[:-1]) | (row[1:] != row[:-1])]))[0]
         end = np.concatenate([turn[1:], [n]]) - 1
         good = pos[turn] >= 0
@@ -149,17 +151,17 @@ SPANS = "doc_id long, lo long, hi long"
 def candidates(joined: DataFrame, buckets: int) -> DataFrame:
     """PARTS rows: the strings of each document's windows whose minimizer another document has.
 
-    joined: doc_id, text, keys (array of binary). Strings of one content that are worked on together are sent for the smallest
+    joined: doc_id, text (squeezed), keys (array of binary). Strings of one content that are worked on together are sent for the smallest
     doc_id; the windows of the others are known to be late, and go along as such without their bytes.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            data, at = text_bytes(b.column(1))
+            data, at = text_bytes(expanded_text(b.column(1)))
             doc = b.column(0).to_numpy()
             want = [np.concatenate([unplanes(x, BITS // 8) for x in k]) for k in b.column(2).to_pylist()]
             wanted = np.unique(np.concatenate([w ^ (np.int64(i) << BITS) for i, w in enumerate(want)]))
-            out = []
+            parts: dict[tuple[int, bool], list] = {}
             for row, key, first, last in runs(data, at):
                 tag = (key & np.int64(2**BITS - 1)) ^ (row << BITS)
                 hit = np.searchsorted(wanted, tag)
@@ -170,17 +172,22 @@ def candidates(joined: DataFrame, buckets: int) -> DataFrame:
                 order = np.argsort(doc[row], kind="stable")
                 row, key, first, last = row[order], key[order], first[order], last[order]
                 seen: dict[bytes, int] = {}
-                raw = data[first.min() : last.max() + WINDOW].tobytes()
                 base = int(first.min())
-                mine = np.array([seen.setdefault(raw[a - base : z - base + WINDOW], i) for i, (a, z) in enumerate(zip(first.tolist(), last.tolist(), strict=True))])
+                raw = data[base : last.max() + WINDOW].tobytes()
+                texts = [raw[a:z] for a, z in zip((first - base).tolist(), (last - base + WINDOW).tolist(), strict=True)]
+                mine = np.array([seen.setdefault(t, i) for i, t in enumerate(texts)])
                 late = doc[row[mine]] < doc[row]
                 for known, where in ((False, np.nonzero(~late)[0]), (True, np.nonzero(late)[0])):
                     place = (doc[row[where]].view(np.uint64) % np.uint64(buckets)).astype(np.int64) if known else bucket_of(key[where], buckets)
                     for i, which in by_bucket(place):
                         j = where[which]
-                        text = b"" if known else b"".join([raw[a - base : z - base + WINDOW] for a, z in zip(first[j].tolist(), last[j].tolist(), strict=True)])
-                        out.append((i, known, planes(doc[row[j]], 8), planes(first[j] - at[row[j]], 8), planes(last[j] - first[j] + 1, 1), text))
-            if out:
+                        kept = parts.setdefault((i, known), [[], [], [], []])
+                        for column, x in zip(kept, (doc[row[j]], first[j] - at[row[j]], last[j] - first[j] + 1, [] if known else [texts[t] for t in j.tolist()]), strict=True):
+                            column.append(x)
+            if parts:
+                out = []
+                for (i, known), (d, f, n, t) in parts.items():
+                    out.append((i, known, squeezed(planes(np.concatenate(d), 8)), squeezed(planes(np.concatenate(f), 8)), planes(np.concatenate(n), 1), squeezed(b"".join([x for part in t for x in part]))))
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int32(), pa.bool_(), *[pa.binary()] * 4), strict=True)], names=["bucket", "known", "doc", "first", "windows", "data"])
 
     return joined.select("doc_id", "text", "keys").mapInArrow(run, PARTS)
@@ -192,13 +199,14 @@ def late_spans(parts: DataFrame) -> DataFrame:
     def run(group: pa.Table) -> pa.Table:
         rows = group.to_pylist()
         known = [r for r in rows if r["known"]]
-        doc = [unplanes(r["doc"], 8) for r in known]
-        lo = [unplanes(r["first"], 8) for r in known]
-        hi = [unplanes(r["first"], 8) + unplanes(r["windows"], 1) for r in known]
+        doc = [unplanes(expanded(r["doc"]), 8) for r in known]
+        lo = [unplanes(expanded(r["first"]), 8) for r in known]
+        hi = [x + unplanes(r["windows"], 1) for x, r in zip(lo, known, strict=True)]
         sent = [r for r in rows if not r["known"]]
         if sent:
-            d, f, n = (np.concatenate([unplanes(r[c], w) for r in sent]) for c, w in (("doc", 8), ("first", 8), ("windows", 1)))
-            data = np.frombuffer(b"".join([r["data"] for r in sent]), np.uint8)
+            d, f = (np.concatenate([unplanes(expanded(r[c]), 8) for r in sent]) for c in ("doc", "first"))
+            n = np.concatenate([unplanes(r["windows"], 1) for r in sent])
+            data = np.frombuffer(b"".join([expanded(r["data"]) for r in sent]), np.uint8)
             length = n + WINDOW - 1
             string, a, z = later_windows(data, np.cumsum(length) - length, n, d)
             doc.append(d[string])
@@ -228,7 +236,7 @@ def repeated(docs: DataFrame) -> DataFrame:
     buckets = SPREAD * shuffle_width(spark)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).where(f"doc_id is not null and octet_length(text) >= {WINDOW}")
     flags = shared_keys(docs, keys_of, buckets).groupBy("doc_id").agg(F.collect_list("keys").alias("keys"))
-    found = late_spans(candidates(docs.join(flags, "doc_id"), buckets))
+    found = late_spans(candidates(squeezed_text(docs).join(flags, "doc_id"), buckets))
     return found.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("lo", "hi"))).alias("spans"))
 
 
@@ -242,7 +250,7 @@ def remove(docs: DataFrame, spans: DataFrame, text: str = "text", keep_text: boo
         for b in batches:
             texts, sizes, gone, counts, sums = [], [], [], [], []
             for t, s in zip(b.column(text), b.column("_spans"), strict=True):
-                raw = t.as_buffer().to_pybytes() if t.is_valid else b""
+                raw = expanded(t.as_buffer()) if t.is_valid else b""
                 runs_ = merge(*(s.values.field(k).to_numpy() for k in ("lo", "hi"))) if s.is_valid and len(s) else []
                 edge = [0, *[x for r in runs_ for x in r], len(raw)]
                 left = b"".join([raw[a:z] for a, z in zip(edge[::2], edge[1::2], strict=True)])
@@ -253,7 +261,7 @@ def remove(docs: DataFrame, spans: DataFrame, text: str = "text", keep_text: boo
                 sums.append(hashlib.sha256(left).hexdigest())
             yield pa.RecordBatch.from_arrays([*[b.column(c) for c in rest], pa.array(texts, pa.binary()), *[pa.array(x, pa.int64()) for x in (sizes, gone, counts)], pa.array(sums, pa.string())], names=[*rest, text, "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
-    joined = docs.join(spans.select(F.col("doc_id").alias("_id"), F.col("spans").alias("_spans")), F.col("doc_id") == F.col("_id"), "left").drop("_id")
+    joined = squeezed_text(docs, text).join(spans.select(F.col("doc_id").alias("_id"), F.col("spans").alias("_spans")), F.col("doc_id") == F.col("_id"), "left").drop("_id")
     return joined.select(*rest, text, "_spans").mapInArrow(run, schema)
 
 
