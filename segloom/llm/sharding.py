@@ -70,22 +70,24 @@ def shard(rows: DataFrame, shards: int = 8, cells: int = 32, tolerance: float =
     Shards are ranges of k of near equal bytes: each boundary is off by at most `tolerance` of a shard, unless one key is larger.
     Every shard is counted and numbered in `cells` smaller ranges, found the same way, so that no task holds a whole shard; give
     more cells for more rows. Rows move once, to their cell. `rows` is read several times and should be a table. Ties in k are
-    ordered by doc_id where there is one. An empty table gives an empty one.
+    ordered by doc_id where there is one. Columns named shard or slot
+    are replaced. An empty table gives an empty one.
     """
     spark = rows.sparkSession
+    rows = rows.drop("shard", "slot", "_cell", "_start")
     total = rows.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
     edges = splitters(rows.select("k", "size"), shards * cells, int(total * tolerance / shards))
-    celled = rows.withColumn("cell", _below(np.array(edges, np.int64))("k"))
-    counts = dict(celled.groupBy("cell").count().collect())
+    celled = rows.withColumn("_cell", _below(np.array(edges, np.int64))("k"))
+    counts = dict(celled.groupBy("_cell").count().collect())
     starts, at = [], 0
     for c in range(shards * cells):
         at = 0 if c % cells == 0 else at
         starts.append((c, at))
         at += counts.get(c, 0)
-    table = F.broadcast(spark.createDataFrame(starts, "cell int, start long"))  # shards * cells rows
-    order = Window.partitionBy("cell").orderBy("k", *[c for c in ("doc_id", "size") if c in rows.columns])
-    numbered = celled.join(table, "cell").withColumn("slot", F.col("start") + F.row_number().over(order) - 1)
-    return numbered.withColumn("shard", (F.col("cell") / cells).cast("int")).drop("cell", "start", "k")
+    table = F.broadcast(spark.createDataFrame(starts, "_cell int, _start long"))  # shards * cells rows
+    order = Window.partitionBy("_cell").orderBy("k", *[c for c in ("doc_id", "size") if c in rows.columns])
+    numbered = celled.join(table, "_cell").withColumn("slot", F.col("_start") + F.row_number().over(order) - 1)
+    return numbered.withColumn("shard", (F.col("_cell") / cells).cast("int")).drop("_cell", "_start", "k")
 
 
 def op7(spark, sf_dir: str) -> DataFrame:
