@@ -1,6 +1,6 @@
 """All named queries of the library."""
 
-from segloom.plans import states, streams, texts, timelines
+from segloom.plans import audits, states, streams, texts, timelines
 from segloom.plans.registry import ORACLES, QUERIES
 
-__all__ = ["ORACLES", "QUERIES", "states", "streams", "texts", "timelines"]
+__all__ = ["ORACLES", "QUERIES", "audits", "states", "streams", "texts", "timelines"]
