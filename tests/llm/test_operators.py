@@ -1,0 +1,546 @@
+"""The ten operators against brute force, and on nulls, empty and long texts, ties, repeats, empty tables and clashing columns."""
+
+import hashlib
+import random
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pyarrow as pa
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+
+from segloom.llm import common, compact_windows, embeddings, mixing, packing, quality_classifier, quality_rules, revisits, sharding, shared_keys, simhash, suffix_dedup
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+CLASH = "doc_id long, text string, lang string, source string, n_chars long, size long, score double, node long, component_id long, k long, slot int, mix_taken long, _spans string, n_removed long, n_words long, key string, bucket int"
+
+
+def prose(rng, n, vocabulary=400):
+    return " ".join(f"w{rng.randint(0, vocabulary)}" for _ in range(n))
+
+
+def nasty(seed=1, n=40):
+    """(doc_id, text, source): random texts, copies, near copies, shared passages, nulls, empty, blank and long texts, all ids mixed."""
+    rng = random.Random(seed)
+    passage = prose(rng, 60, 10_000)
+    texts = [prose(rng, rng.choice([1, 3, 30, 120, 300]), 5000) for _ in range(n)]
+    texts += [texts[5], texts[5], texts[7] + " tail", " ".join(texts[8].split()[1:])]
+    texts += [prose(rng, 40, 9000) + "\n" + passage + "\n" + prose(rng, 30, 9000) for _ in range(4)]
+    texts += [None, "", " \n\t", "é" * 300, "ab" * 200, "the the the " * 80, prose(rng, 6000, 20_000), "\x00 \x1c a b 北京 " + passage]
+    ids = list(range(len(texts)))
+    rng.shuffle(ids)
+    sources = ["b", "a", None, "ä", "B"]
+    return [(i, t, sources[k % 5]) for k, (i, t) in enumerate(zip(ids, texts, strict=True))]
+
+
+@pytest.fixture(scope="module")
+def rows():
+    return nasty()
+
+
+def frame(spark, rows, parts=3):
+    full = [(i, t, None, s, None, 7, 0.5, 1, 2, 3, 4, 5, "x", 6, 7, "k", 8) for i, t, s in rows]
+    return spark.createDataFrame(full, CLASH).repartition(parts)
+
+
+def empty(spark):
+    return spark.createDataFrame([], CLASH)
+
+
+def components(ids, links):
+    parent = {i: i for i in ids}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in links:
+        a, b = root(a), root(b)
+        parent[max(a, b)] = min(a, b)
+    return {i: root(i) for i in ids}
+
+
+def words(text):
+    return WORD.findall(text or "")
+
+
+# 1
+
+
+def test_classifier_learns_and_cuts_at_the_quantile():
+    rng = np.random.default_rng(0)
+    x = rng.normal(size=(400, quality_classifier.FEATURES))
+    good = x[:, 3] + 0.3 * rng.normal(size=400) > -0.8
+    model = quality_classifier.fit(x, good, float((~good).mean()), 0.3)
+    s = quality_classifier.apply(model, x)
+    assert ((s >= 0.3) == good).mean() > 0.9 and 0 < s.min() and s.max() < 1
+    assert abs((s < 0.3).mean() - (~good).mean()) < 0.03
+
+
+def test_classifier_on_odd_tables(spark, rows):
+    docs = frame(spark, rows)
+    labels = spark.createDataFrame([(i, i % 3 and 1, 0) for i, _, _ in rows] + [(None, 1, 0), (3, None, None), (3, 0, 0), (3, 0, 0)], "doc_id long, quality int, toxic int")
+    out = quality_classifier.score(docs, quality_classifier.train(docs, labels))
+    got = out.collect()
+    assert out.columns.count("score") == 1 and len(got) == len(rows) and all(0 <= r.score <= 1 for r in got)
+    one = quality_classifier.train(docs, labels.where("quality = 1"))
+    assert {round(r.score, 6) for r in quality_classifier.score(docs, one, keep_text=False).collect()} == {round(1 / (1 + np.exp(-2.0)), 6)}
+    none = quality_classifier.train(empty(spark), labels.limit(0))
+    assert quality_classifier.score(empty(spark), none).count() == 0
+
+
+# 2
+
+
+def late_bytes(rows):
+    seen, out = set(), {}
+    for i, t, _ in sorted(rows, key=lambda r: r[0]):
+        raw = (t or "").encode()
+        hit, own = np.zeros(len(raw) + 1, int), set()
+        for p in range(len(raw) - 49):
+            own.add(raw[p : p + 50])
+            if raw[p : p + 50] in seen:
+                hit[p] += 1
+                hit[p + 50] -= 1
+        seen |= own
+        out[i] = (raw, np.cumsum(hit)[:-1] > 0)
+    return out
+
+
+def test_suffix_dedup_is_exact(spark, rows):
+    docs = frame(spark, rows)
+    out = suffix_dedup.remove(docs, common.cut(suffix_dedup.repeated(docs), "spans"))
+    got = {r.doc_id: r for r in out.collect()}
+    for i, (raw, late) in late_bytes(rows).items():
+        left = bytes(np.frombuffer(raw, np.uint8)[~late])
+        r = got[i]
+        assert (r.n_bytes, r.n_removed, bytes(r.text), r.kept_sha256) == (len(raw), int(late.sum()), left, hashlib.sha256(left).hexdigest())
+        assert r.n_spans == int((np.diff(np.concatenate([[0], late.astype(int)])) == 1).sum())
+    assert suffix_dedup.repeated(empty(spark)).count() == 0
+    twice = frame(spark, [r for r in rows if r[0] < 5] * 2 + [(None, "x" * 90, "a")])
+    assert suffix_dedup.remove(twice, suffix_dedup.repeated(twice)).where("doc_id is null and n_removed = 0").count() == 1
+
+
+def test_suffix_classes_are_equality_of_windows():
+    rng = np.random.default_rng(3)
+    data = rng.integers(97, 99, 3000).astype(np.uint8)
+    data[1000:1400] = data[:400]
+    data[2000:2100] = data[350:450]
+    data[2050] ^= 1
+    pos = np.arange(len(data) - 49)
+    kind = suffix_dedup.suffix_classes(data, pos)
+    seen = {}
+    for p, k in zip(pos, kind, strict=True):
+        assert seen.setdefault(bytes(data[p : p + 50]), k) == k
+    assert len(set(kind)) == len(seen)
+
+
+def test_runs_give_every_window_once_and_the_same_key_to_equal_ones():
+    rng = np.random.default_rng(4)
+    data = rng.integers(97, 101, 4000).astype(np.uint8)
+    data[3000:3300] = data[100:400]
+    at = np.array([0, 30, 30, 1500, 4000])
+    keys = {}
+    for row, key, first, last in suffix_dedup.runs(data, at):
+        for r, k, a, z in zip(row, key, first, last, strict=True):
+            for p in range(a, z + 1):
+                assert p not in keys and at[r] <= p and p + 50 <= at[r + 1]
+                keys[p] = k
+    assert len(keys) == (1500 - 30 - 49) + (2500 - 49)
+    assert all(keys[p] == keys[p + 2900] for p in range(100, 351))
+
+
+# 3
+
+
+def test_revisits_against_a_scan(spark):
+    rng = random.Random(8)
+    urls = ["http://A.com/x/", "http://a.com:80/x?utm_a=1", "https://b.org/?b=2&a=1#f", "https://b.org?a=1&b=2", None]
+    records = []
+    for i in range(300):
+        kind = rng.choice(["response", "revisit"])
+        records.append((i, rng.choice(urls), rng.randint(0, 60) if rng.random() > 0.05 else None, kind, rng.choice(["e1", "e2", None]), rng.choice(["m1", "m2", None]), {"etag": "n", "server": str(i), "date": str(i)} if rng.random() > 0.1 else None, "keep"))
+    df = spark.createDataFrame(records, "record_id long, url string, ts long, kind string, etag string, last_modified string, headers map<string,string>, outcome string").withColumn("outcome", F.lit(None).cast("string"))
+    got = {r.record_id: r for r in revisits.resolve(df, span=7).collect()}
+    canon = {urls[0]: "x", urls[1]: "x", urls[2]: "b", urls[3]: "b"}
+    order = lambda r: (-(10**9) if r[2] is None else r[2], r[3] == "revisit", r[0])
+    last = {}
+    for r in sorted(records, key=order):
+        if r[1] is None:
+            want, found = ("response" if r[3] == "response" else "no_response"), None
+        else:
+            if r[3] == "response":
+                last[canon[r[1]]] = r
+            found = last.get(canon[r[1]])
+            if r[3] == "response":
+                want = "response"
+            elif found is None:
+                want = "no_response"
+            elif r[4] and found[4]:
+                want = "resolved" if r[4] == found[4] else "mismatch"
+            elif r[5] and found[5]:
+                want = "resolved" if r[5] == found[5] else "mismatch"
+            else:
+                want = "no_validator"
+        assert got[r[0]].outcome == want, r
+        assert got[r[0]].response_id == (found[0] if found else None)
+        if want == "resolved":
+            headers = dict(found[6] or {})
+            headers.update({k: v for k, v in (r[6] or {}).items() if k in revisits.PERMITTED})
+            assert got[r[0]].merged_headers == headers
+        else:
+            assert got[r[0]].merged_headers is None
+    assert revisits.resolve(df.limit(0)).count() == 0
+
+
+# 4
+
+
+def test_tiles_find_the_links_of_double_precision(spark):
+    rng = np.random.default_rng(5)
+    base = rng.normal(size=(30, 24))
+    x = np.concatenate([base, base[:10] + 0.28 * rng.normal(size=(10, 24)), base[:10] * 3, -base[:3], base[:4]])
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    odd = [[], None, [0.0] * 24, [float("nan")] + [1.0] * 23, [float("inf")] + [1.0] * 23, [None] + [1.0] * 23, [1.0, 2.0], [2.0, 4.0]]
+    rows += [(100 + i, v) for i, v in enumerate(odd)] + [(None, base[0].tolist())]
+    got = {r.vec_id: r for r in embeddings.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()}
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    near = unit @ unit.T >= 0.9
+    np.fill_diagonal(near, False)
+    comp = components(range(len(x)), zip(*np.nonzero(near), strict=True))
+    for i in range(1, len(x)):
+        extra = 1 if near[0][i] else 0  # the row without an id is a copy of row 0
+        assert (got[i].n_links, got[i].component_id, got[i].kept) == (near[i].sum() + extra, comp[i], comp[i] == i)
+    assert [got[100 + i].n_links for i in range(8)] == [0] * 6 + [1, 1] and got[107].component_id == 106
+    assert embeddings.near_duplicates(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
+
+
+def test_quantisation_bound_holds():
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(300, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    q, s, e = embeddings.quantise(x)
+    about = (s[:, None] * q) @ (s[:, None] * q).T
+    assert (abs(about - x @ x.T) <= e[:, None] + e + e[:, None] * e + 1e-12).all()
+
+
+# 5
+
+
+def plain_print(text):
+    w = words("".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or ""))
+    if not w:
+        return 0
+    h = [xxhash.xxh64_intdigest(" ".join(w[i : i + 4]).encode(), 42) for i in range(max(1, len(w) - 3))]
+    return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
+
+
+def test_simhash_against_all_pairs(spark, rows):
+    rows = [*rows, (900, "A b C d E", "a"), (901, "a B c D e", "a")]
+    prints = {i: plain_print(t) for i, t, _ in rows}
+    comp = components(prints, [(a, b) for a in prints for b in prints if a < b and (prints[a] ^ prints[b]).bit_count() <= 4])
+    got = simhash.near_duplicates(frame(spark, rows)).collect()
+    assert {r.doc_id: (r.fp % 2**64, r.component_id) for r in got} == {i: (prints[i], comp[i]) for i in prints}
+    assert simhash.near_duplicates(empty(spark)).count() == 0
+
+
+def test_masks_cover_the_radius():
+    rng = random.Random(0)
+    found = [m % 2**64 for m in simhash.masks(4)]
+    assert len(found) == 31
+    for _ in range(2000):
+        flip = sum(1 << b for b in rng.sample(range(64), 4))
+        assert any(not flip & m for m in found)
+
+
+def test_links_in_hot_groups_and_blocks(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "BLOCK", 8)
+    rng = random.Random(1)
+    base = rng.getrandbits(64)
+    prints = list({base ^ sum(1 << b for b in rng.sample(range(64), rng.randint(0, 3))) for _ in range(80)})
+    rows = [(p - 2**64 if p >> 63 else p, i) for i, p in enumerate(prints)]
+    edges = simhash.links(spark.createDataFrame(rows, "fp long, node long")).collect()
+    assert all((prints[e.src] ^ prints[e.dst]).bit_count() <= 64 for e in edges)
+    got = components(range(len(prints)), [(e.src, e.dst) for e in edges])
+    want = components(range(len(prints)), [(a, b) for a in range(len(prints)) for b in range(a) if (prints[a] ^ prints[b]).bit_count() <= 4])
+    assert got == want
+
+
+def test_components_of_long_chains(spark):
+    rng = random.Random(2)
+    ids = list(range(200))
+    rng.shuffle(ids)
+    edges = list(zip(ids, ids[1:], strict=False)) + [(1000, 1001), (1001, 1000), (5, 5), (None, 3)]
+    got = {r.node: r.component for r in common.components(spark.createDataFrame(edges, "src long, dst long")).collect()}
+    assert got == {**dict.fromkeys(range(200), 0), 1000: 1000, 1001: 1000}
+    assert common.components(spark.createDataFrame([], "src long, dst long")).count() == 0
+
+
+def shingles(text):
+    w = (text or "").encode().lower().split()
+    return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))}
+
+
+def test_similar_documents(spark, rows):
+    rng = random.Random(4)
+    near = []
+    for k in range(30):
+        w = prose(rng, 150, 8000).split()
+        near.append((2000 + 2 * k, " ".join(w), "a"))
+        w[rng.randrange(150)] = "changed"
+        near.append((2001 + 2 * k, " ".join(w), "a"))
+    rows = [*rows, *near]
+    sets = {i: shingles(t) for i, t, _ in rows}
+    links = [(a, b) for a in sets for b in sets if a < b and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
+    want = components(sets, links)
+    got = {r.doc_id: r.component_id for r in simhash.similar_documents(frame(spark, rows)).collect()}
+    assert set(got) == set(want)
+    assert all(got[i] >= want[i] for i in want)  # no false link
+    assert sum(got[i] == want[i] for i in want) >= len(want) - 2
+    assert simhash.similar_documents(empty(spark)).count() == 0
+
+
+# 6
+
+
+def test_compact_windows_are_the_definition():
+    rng = np.random.default_rng(7)
+    token = rng.integers(0, 2**63, 600, dtype=np.uint64)
+    token[300:360] = token[40:100]
+    at = np.array([0, 20, 250, 600])
+    part, key, left, mid, right = compact_windows.compact_windows(token, at, 1)
+    v = (token ^ compact_windows.ODD[7]) * compact_windows.ODD[8]
+    v ^= v >> np.uint64(29)
+    v *= compact_windows.ODD[1]
+    v ^= v >> np.uint64(32)
+    rank = (v & ~np.uint64(2**24 - 1)) | np.arange(600, dtype=np.uint64)
+    want = set()
+    for a, z in zip(at, at[1:], strict=False):
+        for i in range(a, z):
+            lo, hi = i, i
+            while lo > a and rank[lo - 1] > rank[i]:
+                lo -= 1
+            while hi < z - 1 and rank[hi + 1] > rank[i]:
+                hi += 1
+            if hi - lo + 1 >= compact_windows.TOKENS:
+                want.add((lo, i, hi))
+    assert set(zip(left.tolist(), mid.tolist(), right.tolist(), strict=True)) == want
+    assert (v[mid].view(np.int64) == key).all() and (np.searchsorted(at, mid, "right") - 1 == part).all()
+
+
+def test_passages_are_removed_and_clean_texts_kept(spark, rows):
+    out = compact_windows.deduplicate(frame(spark, rows))
+    got = {r.doc_id: r for r in out.collect()}
+    text = {i: t for i, t, _ in rows}
+    seen = set()
+    for i in sorted(text):
+        w = (text[i] or "").encode().lower().split()
+        runs = {tuple(w[p : p + 50]) for p in range(len(w) - 49)}
+        r = got[i]
+        if runs & seen:
+            assert r.n_removed >= 50 and r.sources and max(r.sources) < i
+        assert len((r.text or "").encode().split()) == r.n_words - r.n_removed
+        if not r.n_removed:
+            assert r.text == text[i]
+        else:
+            left = r.text.encode().lower().split()
+            assert not {tuple(left[p : p + 50]) for p in range(len(left) - 49)} & seen
+        seen |= runs
+    assert sum(r.n_removed > 0 for r in got.values()) <= 12
+    assert compact_windows.deduplicate(empty(spark)).count() == 0
+
+
+def test_verified_accepts_edits_and_rejects_strangers():
+    rng = np.random.default_rng(1)
+    other = rng.integers(0, 2**32, 200).astype(np.uint32)
+    mine = other[50:120].copy()
+    mine[30] ^= 1
+    assert compact_windows.verified(mine, 0, 70, other) == [(0, 70)]
+    assert compact_windows.verified(rng.integers(0, 2**32, 100).astype(np.uint32), 0, 100, other) == []
+    assert compact_windows.verified(mine[:40], 0, 40, other) == []
+    assert compact_windows.verified(mine, 0, 70, other[:0]) == []
+
+
+def test_shared_keys_and_stars(spark):
+    rng = random.Random(9)
+    have = {i: {rng.randint(0, 300) for _ in range(8)} for i in range(60)}
+    mixed = lambda k: (k * 0x9E3779B97F4A7C15) % 2**63
+
+    def keys_of(column):
+        got = [(r, mixed(int(k))) for r, t in enumerate(column.to_pylist()) for k in t.split()]
+        return np.array([g[0] for g in got], int), np.array([g[1] for g in got], np.int64)
+
+    df = spark.createDataFrame([(i, " ".join(map(str, sorted(ks)))) for i, ks in have.items()], "doc_id long, text string").repartition(3)
+    count = Counter(k for ks in have.values() for k in ks)
+    got = {}
+    for r in shared_keys.shared_keys(df, keys_of, 5).collect():
+        got.setdefault(r.doc_id, set()).update(shared_keys.unplanes(r["keys"], shared_keys.BITS // 8).tolist())
+    assert got == {i: w for i, ks in have.items() if (w := {mixed(k) % 2**shared_keys.BITS for k in ks if count[k] > 1})}
+    pairs = [(r.src, r.dst) for r in shared_keys.star_pairs(df, keys_of, 5).collect()]
+    assert all(a > b and have[a] & have[b] for a, b in pairs)
+    assert components(have, pairs) == components(have, [(a, b) for a in have for b in have if a < b and have[a] & have[b]])
+
+
+# 7
+
+
+def test_shards_are_level_and_gapless(spark, rows):
+    texts = [(i, t, s) for i, t, s in rows] + [(5000 + i, "same text", "a") for i in range(150)]
+    df = frame(spark, texts).select("doc_id", sharding.text_key("doc_id", "text").alias("k"), (F.octet_length(F.coalesce("text", F.lit(""))) + 1).cast("long").alias("size"), F.lit(1).alias("slot"), F.lit("x").alias("start"))
+    df = common.cut(df, "k")
+    out = sharding.shard(df, cells=4).collect()
+    assert len(out) == len(texts) and {r.start for r in out} == {"x"}
+    sizes, slots = Counter(), {}
+    for r in out:
+        sizes[r.shard] += r.size
+        slots.setdefault(r.shard, []).append(r.slot)
+    largest = max(r.size for r in out)
+    assert max(sizes.values()) - sum(sizes.values()) / 8 <= largest and set(sizes) <= set(range(8))
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    assert sharding.shard(df.limit(0)).count() == 0
+    assert [r.slot for r in sharding.shard(df.limit(1)).collect()] == [0]
+
+
+# 8
+
+
+def shares(sizes, weights):
+    total, capped = sum(sizes), set()
+    while True:
+        left = total - sum(3 * sizes[i] for i in capped)
+        weight = sum(w for i, w in enumerate(weights) if i not in capped)
+        over = {i for i, w in enumerate(weights) if i not in capped and left * w > 3 * sizes[i] * weight}
+        if not over:
+            return [3 * s if i in capped else left * w / weight for i, (s, w) in enumerate(zip(sizes, weights, strict=True))]
+        capped |= over
+
+
+def test_budgets():
+    rng = random.Random(3)
+    for _ in range(300):
+        sizes = [rng.choice([0, 1, rng.randint(0, 1000)]) for _ in range(rng.randint(1, 9))]
+        weights = [(5, 2, 1)[i % 3] for i in range(len(sizes))]
+        assert [a / b for a, b in mixing.budgets(sizes, weights)] == pytest.approx(shares(sizes, weights))
+
+
+def test_mix_takes_each_budget_exactly(spark, rows):
+    docs = frame(spark, [*rows, *rows[:3]])
+    out = mixing.mix(mixing.sized(docs)).collect()
+    by = {}
+    for r in out:
+        by.setdefault(r.source, []).append(r)
+        assert r["size"] == len(words(r.text)) and 0 <= r.mix_taken <= 3 * r["size"]
+    names = sorted((s for s in by if s is not None), key=lambda s: s.encode()) + [None]
+    want = shares([sum(r["size"] for r in by[s]) for s in names], [(5, 2, 1)[i % 3] for i in range(len(names))])
+    for s, target in zip(names, want, strict=True):
+        assert all(r.mix_target == pytest.approx(target) for r in by[s])
+        assert sum(r.mix_taken for r in by[s]) == int(target + 1e-6)
+    again = mixing.mix(mixing.sized(docs.repartition(2))).collect()
+    assert Counter((r.doc_id, r.mix_taken) for r in out) == Counter((r.doc_id, r.mix_taken) for r in again)
+    assert mixing.mix(mixing.sized(empty(spark))).count() == 0
+
+
+# 9
+
+
+def test_text_stats(spark, rows):
+    got = {r.doc_id: r for r in quality_rules.text_stats(frame(spark, rows)).collect()}
+    for i, t, _ in rows:
+        w = words(t)
+        grams = [tuple(w[k : k + 5]) for k in range(len(w) - 4)]
+        many = Counter(grams)
+        covered = {k + d for k, g in enumerate(grams) if many[g] > 1 for d in range(5)}
+        lines, seen, dup = [x for x in (t or "").split("\n") if WORD.search(x)], set(), 0
+        for x in lines:
+            dup += x in seen
+            seen.add(x)
+        r = got[i]
+        assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == (len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", t or "")), dup, len(covered))
+
+
+def test_em_finds_rules_and_faults():
+    rng = np.random.default_rng(2)
+    n, m = 20_000, 5
+    bad = rng.random(n) < 0.15
+    kind = rng.integers(0, m, n)
+    votes = rng.choice(3, size=(n, m), p=[0.003, 0.2, 0.797])
+    own = bad & (rng.random(n) < 0.9)
+    votes[own, kind[own]] = 0
+    patterns, counts = np.unique(votes, axis=0, return_counts=True)
+    share, p = quality_rules.fit_votes(patterns, counts.astype(float))
+    good = quality_rules.responsibilities(patterns, share, p)[0]
+    judged = dict(zip(map(tuple, patterns), good, strict=True))
+    right = np.mean([(judged[tuple(v)] < 0.5) == b for v, b in zip(votes, bad, strict=True)])
+    assert right > 0.95 and abs(share[0] - 0.85) < 0.05
+
+
+def test_rules_on_odd_tables(spark, rows):
+    out = quality_rules.judge(common.cut(quality_rules.text_stats(frame(spark, rows)), "s"))
+    got = {r.doc_id: r for r in out.collect()}
+    assert len(got) == len(rows)
+    assert all(r.base_failed == (r.n_words < 10 or 5 * r.n_repeat_words > r.n_words) and not (r.kept and r.base_failed) for r in got.values())
+    assert quality_rules.judge(quality_rules.text_stats(empty(spark))).count() == 0
+
+
+# 10
+
+
+def test_column_generation_is_near_the_bound():
+    rng = random.Random(6)
+    for _ in range(20):
+        counts = {rng.randint(1, 64): rng.randint(1, 200) for _ in range(rng.randint(1, 20))}
+        plan = packing.plan(counts, 64)
+        have = Counter()
+        for sizes, k in plan:
+            assert sum(sizes) <= 64
+            for s in sizes:
+                have[s] += k
+        assert have == counts
+        room = []
+        for s in sorted(counts, reverse=True):  # first fit decreasing
+            for _ in range(counts[s]):
+                i = next((i for i, r in enumerate(room) if r >= s), None)
+                if i is None:
+                    room.append(64)
+                    i = -1
+                room[i] -= s
+        assert sum(k for _, k in plan) <= len(room) + len(counts)
+    assert packing.plan({}, 64) == []
+
+
+def test_pieces_and_sequences_round_trip(spark, rows):
+    tokenizers = pytest.importorskip("tokenizers")
+    path = packing.vocabulary()
+    plain = tokenizers.Tokenizer.from_file(path)
+    rows = [*rows, (700, "Don't, I'll ΑΣ ας. İ x's ... !!! á ½ ﬁ ,a .b", "a"), *rows[:2]]
+    ids = {i: np.array([*plain.encode(t or "", add_special_tokens=False).ids, 2], "<u4") for i, t, _ in rows}
+    out = packing.pack(common.cut(packing.pieces(frame(spark, rows), path), "pieces")).collect()
+    copies = Counter(i for i, _, _ in rows)
+    assert Counter((r.doc_id, r.start) for r in out) == Counter({(i, a): c for i, c in copies.items() for a in range(0, len(ids[i]), 4096)})
+    sequences = {}
+    for r in out:
+        assert zlib.crc32(ids[r.doc_id][r.start : r.start + r.length].tobytes()) == r.ids_crc32 and r.doc_tokens == len(ids[r.doc_id])
+        sequences.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for s in sequences.values():
+        at = 0
+        for offset, length in sorted(s):
+            assert offset == at
+            at += length
+        assert at <= 4096
+    assert sorted(sequences) == list(range(len(sequences)))
+    assert packing.pack(packing.pieces(empty(spark), path)).count() == 0
+
+
+def test_encoder_forgets_without_harm(monkeypatch):
+    pytest.importorskip("tokenizers")
+    monkeypatch.setattr(packing, "WORDS", 5)
+    of = packing.Encoder(packing.vocabulary())
+    texts = pa.array([f"alpha{i}, beta gamma{i % 3}." for i in range(40)] + [None, ""])
+    for _ in range(2):
+        ids, at = of.texts(texts)
+        for t, a, z in zip(texts.to_pylist(), at[:-1], at[1:], strict=True):
+            assert ids[a:z].tolist() == of.tokenizer.encode(t or "", add_special_tokens=False).ids
