@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from segloom.llm.common import text_bytes
+from segloom.llm.common import lean, text_bytes
 from segloom.llm.textstats import CLASSES, LOWER, UPPER, class_counts, line_counts, pair_counts, repeat_words
 
 #: Labelled rows of each class that are fitted on; those with the smallest hash of their id.
@@ -92,7 +92,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, cutoff: floa
     rows = docs.select("doc_id", "text").join(F.broadcast(few[0].unionByName(few[1])), "doc_id").dropDuplicates(["doc_id"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in lean(batches):
             x = features(b.column("text")).astype(np.float32)
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("quality"), pa.array([r.tobytes() for r in x], pa.binary())], names=["doc_id", "quality", "x"])
 
@@ -107,7 +107,7 @@ def score(docs: DataFrame, model: dict, text: str = "text", output: str = "score
     schema = ", ".join([f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in names] + [f"{output} double"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in lean(batches):
             yield pa.RecordBatch.from_arrays([*[b.column(c) for c in names], pa.array(apply(model, features(b.column(text))))], names=[*names, output])
 
     return docs.select(*dict.fromkeys([*names, text])).mapInArrow(run, schema)

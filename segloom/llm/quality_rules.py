@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from segloom.llm.common import cut
+from segloom.llm.common import cut, lean
 from segloom.llm.textstats import COLUMNS, stats
 
 REJECT, ABSTAIN, KEEP = 0, 1, 2
@@ -25,7 +25,7 @@ def text_stats(docs: DataFrame, text: str = "text") -> DataFrame:
     schema = ", ".join([f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in rest] + [f"{c} long" for c in COLUMNS])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in lean(batches):
             yield pa.RecordBatch.from_arrays([b.column(c) for c in rest] + [pa.array(x) for x in stats(b.column(text))], names=[*rest, *COLUMNS])
 
     return docs.select(*rest, text).mapInArrow(run, schema)

@@ -13,10 +13,14 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 
+from segloom.llm.common import lean
+
 #: Bits of a key that are compared within a bucket. Keys that are equal in these by chance only cost a closer look.
 BITS = 32
 #: Parts that one task's exchange is packed in, for each partition after it.
 SPREAD = 4
+#: Rows whose keys star_pairs() has in memory at once.
+STAR_ROWS = 2000
 
 
 def planes(values: np.ndarray, width: int) -> bytes:
@@ -39,7 +43,7 @@ def squeezed_text(docs: DataFrame, text: str = "text") -> DataFrame:
     schema = ", ".join(f"`{c}` {'binary' if c == text else docs.schema[c].dataType.simpleString()}" for c in names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in lean(batches):
             small = pa.array([squeezed(t.as_buffer()) if t.is_valid else None for t in b.column(text)], pa.binary())
             yield pa.RecordBatch.from_arrays([small if c == text else b.column(c) for c in names], names=names)
 
@@ -84,7 +88,7 @@ def shared_keys(docs: DataFrame, keys_of: Callable[[pa.Array], tuple[np.ndarray,
     low = np.int64(2**BITS - 1)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in lean(batches, 5000):
             row, key = keys_of(b.column(1))
             if not len(row):
                 continue
@@ -127,8 +131,8 @@ def shared_keys(docs: DataFrame, keys_of: Callable[[pa.Array], tuple[np.ndarray,
         key, doc = np.concatenate(key) & low, np.concatenate(doc)
         order = np.argsort(doc, kind="stable")
         key, doc = key[order], doc[order]
-        at = np.nonzero(np.concatenate([[True], doc[1:] != doc[:-1]]))[0] if len(doc) else np.zeros(0, int)
-        return pa.table({"doc_id": pa.array(doc[at], pa.int64()), "keys": pa.array([planes(key[a:b], BITS // 8) for a, b in zip(at, [*at[1:], len(doc)], strict=True)], pa.binary())})
+        at = np.concatenate([np.nonzero(np.concatenate([[True], doc[1:] != doc[:-1]]))[0], [len(doc)]]) if len(doc) else np.zeros(1, int)
+        return pa.table({"doc_id": pa.array(doc[at[:-1]], pa.int64()), "keys": pa.array([planes(key[a:b], BITS // 8) for a, b in zip(at[:-1], at[1:], strict=True)], pa.binary())})
 
     return docs.select("doc_id", "text").mapInArrow(send, SCHEMA).groupBy("bucket").applyInArrow(settle, "doc_id long, keys binary")
 
@@ -148,28 +152,28 @@ def star_pairs(rows: DataFrame, keys_of: Callable[[pa.Array], tuple[np.ndarray,
         return key, doc, np.maximum.accumulate(np.where(first, np.arange(len(key)), 0))
 
     def edges(doc: np.ndarray, head: np.ndarray) -> np.ndarray:
-        pair = np.stack([doc, doc[head]], 1)
-        return np.unique(pair[pair[:, 0] != pair[:, 1]], axis=0)
+        differ = doc != doc[head]
+        return np.unique(np.stack([doc[differ], doc[head][differ]], 1), axis=0)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in lean(batches, STAR_ROWS):
             row, key = keys_of(b.column(1))
             if not len(row):
                 continue
             key, doc, head = star(key, b.column(0).to_numpy()[row])
             own = head == np.arange(len(head))
             pair = edges(doc, head)
-            out = [(i, False, planes(key[own][at], BITS // 8), planes(doc[own][at], 8)) for i, at in by_bucket(bucket_of(key[own], buckets))]
+            out = [(i, False, planes(key[own][at], BITS // 8), squeezed(planes(doc[own][at], 8))) for i, at in by_bucket(bucket_of(key[own], buckets))]
             if len(pair):
-                out += [(i, True, planes(pair[at, 0], 8), planes(pair[at, 1], 8)) for i, at in by_bucket((pair[:, 0].view(np.uint64) % np.uint64(buckets)).astype(np.int64))]
+                out += [(i, True, squeezed(planes(pair[at, 0], 8)), squeezed(planes(pair[at, 1], 8))) for i, at in by_bucket((pair[:, 0].view(np.uint64) % np.uint64(buckets)).astype(np.int64))]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int32(), pa.bool_(), pa.binary(), pa.binary()), strict=True)], names=["bucket", "known", "a", "b"])
 
     def settle(group: pa.Table) -> pa.Table:
         found = group.to_pylist()
-        out = [np.stack([unplanes(r["a"], 8), unplanes(r["b"], 8)], 1) for r in found if r["known"]]
+        out = [np.stack([unplanes(expanded(r["a"]), 8), unplanes(expanded(r["b"]), 8)], 1) for r in found if r["known"]]
         sent = [r for r in found if not r["known"]]
         if sent:
-            _, doc, head = star(np.concatenate([unplanes(r["a"], BITS // 8) for r in sent]), np.concatenate([unplanes(r["b"], 8) for r in sent]))
+            _, doc, head = star(np.concatenate([unplanes(r["a"], BITS // 8) for r in sent]), np.concatenate([unplanes(expanded(r["b"]), 8) for r in sent]))
             out.append(edges(doc, head))
         pair = np.unique(np.concatenate(out), axis=0)
         return pa.table({"src": pair[:, 0], "dst": pair[:, 1]})

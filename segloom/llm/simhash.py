@@ -15,7 +15,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from segloom.llm.common import components, cut, forest, shuffle_width, text_bytes
+from segloom.llm.common import components, cut, forest, lean, shuffle_width, text_bytes
 
 #: Rows of one mask and key that are compared in one task; larger groups are split in blocks of about so many.
 BLOCK = 1024
@@ -67,7 +67,7 @@ def fingerprint_table(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     """(doc_id, fp long) of each row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in lean(batches):
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fingerprints(b.column(1), width).view(np.int64))], names=["doc_id", "fp"])
 
     return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, "doc_id long, fp long")
@@ -215,7 +215,7 @@ def similar_documents(docs: DataFrame, width: int = 5, least: float = 0.8) -> Da
     buckets = SPREAD * shuffle_width(docs.sparkSession)
 
     def prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in lean(batches):
             got = [word_set_prints(t.as_buffer().to_pybytes()) for t in b.column(1)]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([g[0] for g in got], pa.binary()), pa.array([g[1].tobytes() for g in got], pa.binary())], names=["doc_id", "digest", "prints"])
 
@@ -223,11 +223,11 @@ def similar_documents(docs: DataFrame, width: int = 5, least: float = 0.8) -> Da
         return mask_keys(np.frombuffer(b"".join(column.to_pylist()), np.uint64).reshape(-1, SETS), SET_RADIUS)
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in lean(batches):
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([shingle_set(t.as_buffer().to_pybytes(), width) for t in b.column(1)], pa.binary())], names=["node", "shingles"])
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in lean(batches):
             good = []
             for x, y in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True):
                 x, y = np.frombuffer(x, np.uint32), np.frombuffer(y, np.uint32)

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from segloom.llm.common import cut, shuffle_width, text_bytes
+from segloom.llm.common import cut, lean, shuffle_width, text_bytes
 from segloom.llm.shared_keys import BITS, SPREAD, bucket_of, by_bucket, expanded, expanded_text, planes, shared_keys, squeezed, squeezed_text, unplanes
 
 WINDOW, PIECE = 50, 24
@@ -156,7 +156,7 @@ def candidates(joined: DataFrame, buckets: int) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in lean(batches, 5000):
             data, at = text_bytes(expanded_text(b.column(1)))
             doc = b.column(0).to_numpy()
             want = [np.concatenate([unplanes(x, BITS // 8) for x in k]) for k in b.column(2).to_pylist()]
@@ -243,11 +243,12 @@ def repeated(docs: DataFrame) -> DataFrame:
 def remove(docs: DataFrame, spans: DataFrame, text: str = "text", keep_text: bool = True) -> DataFrame:
     """docs with their spans removed: columns of docs, `text` as what is left (binary; null if not keep_text), n_bytes, n_removed,
     n_spans and kept_sha256."""
+    docs = docs.drop("_id", "_spans", "n_bytes", "n_removed", "n_spans", "kept_sha256")
     rest = [c for c in docs.columns if c != text]
     schema = ", ".join([f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in rest] + [f"`{text}` binary, n_bytes long, n_removed long, n_spans long, kept_sha256 string"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in lean(batches):
             texts, sizes, gone, counts, sums = [], [], [], [], []
             for t, s in zip(b.column(text), b.column("_spans"), strict=True):
                 raw = expanded(t.as_buffer()) if t.is_valid else b""
