@@ -119,7 +119,10 @@ def short_merge(spark, root):
     return _grouped(spark, root, kernels.merge_short)
 
 
-@query("short_merge_single_pass")
+@query("short_merge_single_pass", f"""WITH RECURSIVE {TIMELINE}, p AS (SELECT *, {PAIR} AS pair FROM tl), f AS (SELECT episode, segment, CAST(0 AS BIGINT) AS grp, n AS size, pair FROM p WHERE segment = 0
+  UNION ALL SELECT p.episode, p.segment, CASE WHEN p.pair = f.pair AND (p.n < 8 OR f.size < 8) THEN f.grp ELSE f.grp + 1 END, CASE WHEN p.pair = f.pair AND (p.n < 8 OR f.size < 8) THEN f.size + p.n ELSE p.n END, p.pair
+    FROM f JOIN p ON p.episode = f.episode AND p.segment = f.segment + 1)
+  SELECT f.episode, grp, any_value(f.pair) AS pair, min(start_frame) AS start_frame, max(end_frame) AS end_frame, count(*) AS pieces FROM f JOIN p ON p.episode = f.episode AND p.segment = f.segment GROUP BY f.episode, grp""")
 def short_merge_single_pass(spark, root):
     """SEG-07, SEG-12."""
     return _grouped(spark, root, kernels.fold_short)
