@@ -6,13 +6,15 @@ order, and every source is cut at its exact budget, after as many whole epochs a
 
 from __future__ import annotations
 
+from math import isqrt
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from segloom.llm.common import WORD, cut
 
-#: Rows of one source that one task orders at a time.
-BUCKET_ROWS = 20_000
+#: A hash bucket of a source, which one task orders, has about so many rows, or the root of the source's rows if that is more.
+BUCKET_ROWS = 500
 #: The driver computes targets for so many sources at most.
 MOST_SOURCES = 100_000
 
@@ -35,6 +37,11 @@ def budgets(sizes: list[int], weights: list[int], cap: int = 3) -> list[tuple[in
     return out
 
 
+def buckets_for(rows: int) -> int:
+    """Hash buckets for so many rows: neither the buckets nor the rows in one grow faster than the root of the rows."""
+    return max(1, -(-rows // max(BUCKET_ROWS, isqrt(rows))))
+
+
 def random_key(*columns: str) -> Column:
     """Hex digest that orders rows at random and alike in every run."""
     return F.md5(F.concat_ws("|", F.lit("mix"), *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns]))
@@ -58,7 +65,7 @@ def mix(docs: DataFrame, size: str = "size", source: str = "source", doc_id: str
     rows = []
     for i, (r, (a, b)) in enumerate(zip(totals, cuts, strict=True)):
         whole = a // b
-        rows.append((r.s, i, r.total, a / b, whole // r.total if r.total else 0, whole % r.total if r.total else 0, -(-r.n // BUCKET_ROWS)))
+        rows.append((r.s, i, r.total, a / b, whole // r.total if r.total else 0, whole % r.total if r.total else 0, buckets_for(r.n)))
     table = spark.createDataFrame(rows, f"mix_name {docs.schema[source].dataType.simpleString()}, mix_rank int, mix_source_size long, mix_target double, mix_epochs long, mix_rest long, mix_buckets int")
     keyed = docs.withColumn("mix_key", random_key(doc_id)).join(F.broadcast(table), F.col(source).eqNullSafe(F.col("mix_name")))
     keyed = keyed.withColumn("mix_bucket", (F.conv(F.substring("mix_key", 1, 8), 16, 10).cast("long") * F.col("mix_buckets") / 4294967296).cast("int"))

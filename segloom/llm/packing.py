@@ -16,15 +16,14 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from segloom.llm.common import cut, spans_of, text_bytes
+from segloom.llm.common import cut, lean, spans_of, text_bytes
+from segloom.llm.mixing import buckets_for
 
 LIMIT = 4096
 #: Lengths are grouped in classes of so many tokens for the linear program, which so has LIMIT / WIDTH rows at most.
 WIDTH = 16
-#: Pieces of one class that one task ranks at a time.
-BUCKET_ROWS = 20_000
 #: Words whose ids a worker remembers in each of two generations; longer words are not kept. Bytes of text encoded at once.
-WORDS, LONGEST, TOGETHER = 300_000, 40, 4 << 20
+WORDS, LONGEST, TOGETHER = 200_000, 40, 4 << 20
 #: Marks that may end a word of letters and are then a token run of their own.
 MARKS = ".,!?;:%&*$#|"
 
@@ -132,7 +131,7 @@ def pieces(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of = encoder(path)
-        for b in batches:
+        for b in lean(batches):
             keys, (_, at) = b.column(0).to_pylist(), text_bytes(b.column(1))
             out: list[list] = [[], [], [], [], []]
             for i, j in spans_of(at, TOGETHER):
@@ -244,7 +243,7 @@ def pack(rows: DataFrame, limit: int = LIMIT, width: int = WIDTH) -> DataFrame:
             ranges.append((c, at[c], at[c] + k, first, slot))
             at[c] += k
         first += k
-    buckets = F.broadcast(spark.createDataFrame([(c, -(-n // BUCKET_ROWS)) for c, n in counts.items()], "class int, buckets int"))
+    buckets = F.broadcast(spark.createDataFrame([(c, buckets_for(n)) for c, n in counts.items()], "class int, buckets int"))
     dealt = classed.join(buckets, "class").withColumn("bucket", F.pmod(F.xxhash64("doc_id", "start"), F.col("buckets")).cast("int"))
     before = Window.partitionBy("class").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = dealt.groupBy("class", "bucket").agg(F.count("*").alias("n")).withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0))).drop("n")
