@@ -30,7 +30,7 @@ def planes(values: np.ndarray, width: int) -> bytes:
 
 def squeezed(raw: bytes) -> bytes:
     """Compressed bytes; an exchange compresses too, but by far less."""
-    return zstandard.compress(raw, 3)
+    return zstandard.compress(raw, 1)
 
 
 def expanded(raw: bytes) -> bytes:

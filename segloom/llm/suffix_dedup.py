@@ -94,8 +94,9 @@ def suffix_classes(data: np.ndarray, pos: np.ndarray) -> np.ndarray:
     out = np.arange(len(pos))
     live, group = np.arange(len(pos)), np.zeros(len(pos), np.int64)
     for depth in range(0, SHALLOW, 8):
-        order = np.lexsort((word[pos[live] + depth], group))
-        live, group, ch = live[order], group[order], word[pos[live[order]] + depth]
+        ch = word[pos[live] + depth]
+        order = np.lexsort((ch, group)) if depth else np.argsort(ch)
+        live, group, ch = live[order], group[order], ch[order]
         live, group = _regroup(live, group, ch)
     deep = (*range(SHALLOW, WINDOW - 7, 8), WINDOW - 8)
     while len(live):
@@ -112,7 +113,7 @@ def suffix_classes(data: np.ndarray, pos: np.ndarray) -> np.ndarray:
         out[live[leaf]] = lead[leaf]
         live, group, at = live[~leaf], group[~leaf], np.repeat(node, size)[~leaf]
         ch = data[pos[live] + at]
-        order = np.lexsort((ch, group))
+        order = np.argsort(group * 256 + ch)
         live, group = _regroup(live[order], group[order], ch[order])
     return out
 
