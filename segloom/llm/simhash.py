@@ -12,7 +12,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from segloom.llm.common import components, cut, forest, lean, shuffle_width, text_bytes
@@ -157,70 +157,97 @@ def op5(spark, sf_dir: str) -> DataFrame:
     return near_duplicates(docs).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-#: Fingerprints of a document's set of words; each is looked up within SET_RADIUS.
-SETS, SET_RADIUS = 6, 4
-_ODD = np.random.default_rng(5).integers(0, 2**63, 2 * SETS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_ODD = np.random.default_rng(5).integers(0, 2**63, 12, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+#: Documents that hot shingles are looked for in, how many of them have a hot one, and hot ones at most; they only order the shingles.
+HOT_DOCS, HOT_LEAST, HOT_MOST = 50_000, 3, 100_000
 
 
-def word_set_prints(text: bytes) -> tuple[bytes, np.ndarray]:
-    """Digest of a text's words in order, and SETS fingerprints of their set; A-Z in lower case."""
-    words = text.lower().split()
-    h = np.fromiter(map(xxhash.xxh3_64_intdigest, set(words)), np.uint64)
-    return xxhash.xxh3_128_digest(b" ".join(words)), np.concatenate([fingerprint_of(_mixed(h, i), np.array([0, len(h)])) for i in range(SETS)])
+def shingles_of(words: list[bytes], width: int) -> np.ndarray:
+    """Sorted distinct 64-bit hashes of the word shingles; a shorter text is one shingle."""
+    h = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+    n = max(1, len(words) - width + 1)
+    out = np.zeros(n, np.uint64)
+    for i in range(min(width, len(words))):
+        out += h[i : i + n] * _ODD[i]
+    return np.unique(out)
 
 
-def _mixed(h: np.ndarray, i: int) -> np.ndarray:
-    x = (h ^ _ODD[2 * i]) * _ODD[2 * i + 1]
-    x ^= x >> np.uint64(32)
-    x = x * _ODD[i]
-    return x ^ (x >> np.uint64(29))
+def shingle_set(text: bytes, width: int) -> bytes:
+    """Sorted distinct 32-bit hashes of the word shingles."""
+    return np.unique((shingles_of(text.lower().split(), width) >> np.uint64(32)).astype(np.uint32)).tobytes()
 
 
-def mask_keys(prints: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """(row, 64-bit key) of every fingerprint under every covering mask; prints has a row of fingerprints for each document."""
-    n, sets = prints.shape
-    out = []
-    for s in range(sets):
-        for i, m in enumerate(np.array(masks(radius), np.int64).view(np.uint64)):
-            x = ((prints[:, s] & m) ^ np.uint64(s * 1024 + i + 1)) * _ODD[0]
-            x ^= x >> np.uint64(31)
-            x *= _ODD[1]
-            out.append(x ^ (x >> np.uint64(33)))
-    return np.tile(np.arange(n), len(out)), np.concatenate(out).view(np.int64) if out else np.zeros(0, np.int64)
+def prefix_of(shingles: np.ndarray, hot: np.ndarray, least: float) -> np.ndarray:
+    """The first shingles by (hot, hash), so many that two sets with a Jaccard similarity of `least` have one in common.
 
+    Such sets of n and m share least * max(n, m) or more. The first that they share has all the others behind it, so in each set
+    it is one of the first n - least * n + 1, whatever the order, if it is the same order for all.
+    """
+    n = len(shingles)
+    if len(hot):
+        late = hot[np.minimum(np.searchsorted(hot, shingles), len(hot) - 1)] == shingles
+        shingles = np.concatenate([shingles[~late], shingles[late]])
+    return shingles[: n - int(np.ceil(least * n - 1e-9)) + 1]
 
-def shingle_set(text: bytes, width: int) -> bytes:
-    """Sorted distinct 32-bit hashes of the word shingles; a shorter text is one shingle."""
-    words = text.lower().split()
-    h = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
-    n = max(1, len(words) - width + 1)
-    out = np.zeros(n, np.uint64)
-    for i in range(min(width, len(words))):
-        out += h[i : i + n] * _ODD[i]
-    return np.unique((out >> np.uint64(32)).astype(np.uint32)).tobytes()
+
+def hot_shingles(docs: DataFrame, width: int) -> np.ndarray:
+    """Sorted hashes, of the lower half, of shingles that many of a sample of docs (doc_id, text) have."""
+    of = max(1, docs.count())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in lean(batches, 500):
+            sets = [shingles_of(t.as_buffer().to_pybytes().lower().split(), width) for t in b.column(0)]
+            h = np.concatenate(sets)
+            yield pa.RecordBatch.from_arrays([pa.array(h[h < np.uint64(2**63)].view(np.int64))], names=["h"])
+
+    part = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < min(1_000_000, 1_000_000 * HOT_DOCS // of)).select("text")
+    counts = part.mapInArrow(run, "h long").groupBy("h").agg(F.count("*").alias("n")).where(F.col("n") >= HOT_LEAST)
+    top = counts.orderBy(F.desc("n"), "h").limit(HOT_MOST).select("h").toArrow().column("h").to_numpy()
+    return np.sort(top.view(np.uint64))
+
+
+def near_enough(n: Column, i: Column, m: Column, j: Column, least: float) -> Column:
+    """Whether sets of n and m whose first common shingles are the i-th and j-th may have a Jaccard similarity of `least`."""
+    return F.least(n - i, m - j) >= least / (1 + least) * (n + m) - 1e-6
 
 
 def similar_documents(docs: DataFrame, width: int = 5, least: float = 0.8) -> DataFrame:
     """(doc_id, component_id): near duplicates by the Jaccard similarity of their sets of `width`-word shingles, `least` or more.
 
-    Fingerprints of five-word shingles of such pairs differ in ten bits of 64 or more, too many to cover. Those of the sets of
-    words differ in four or five; SETS independent ones are each covered within SET_RADIUS, and a pair is a candidate if one of
-    them is. Each document is paired with the smallest doc_id under each of its keys, not with all of them, and pairs are
-    verified on their shingles. Texts of the same words in the same order are one node and never paired. component_id is the
-    smallest doc_id reachable. Null texts are empty; rows with a null doc_id are not compared.
+    Candidates have one of the first shingles of both in common, in an order that puts rare ones first (prefix_of), which no pair
+    of that similarity escapes; candidates are verified on all shingles. Texts of the same words in the same order are one node
+    and never paired. component_id is the smallest doc_id reachable. Null texts are empty; rows with a null doc_id are not compared.
     """
-    from segloom.llm.shared_keys import SPREAD, star_pairs
+    from segloom.llm.shared_keys import BITS, SPREAD, shared_keys, unplanes
 
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).where("doc_id is not null")
     buckets = SPREAD * shuffle_width(docs.sparkSession)
+    hot = hot_shingles(docs, width)
 
-    def prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in lean(batches):
-            got = [word_set_prints(t.as_buffer().to_pybytes()) for t in b.column(1)]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([g[0] for g in got], pa.binary()), pa.array([g[1].tobytes() for g in got], pa.binary())], names=["doc_id", "digest", "prints"])
+            digest, size, prefix = [], [], []
+            for t in b.column(1):
+                words = t.as_buffer().to_pybytes().lower().split()
+                own = shingles_of(words, width)
+                digest.append(xxhash.xxh3_128_digest(b" ".join(words)))
+                size.append(len(own))
+                prefix.append(prefix_of(own, hot, least).tobytes())
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(digest, pa.binary()), pa.array(size, pa.int32()), pa.array(prefix, pa.binary())], names=["doc_id", "digest", "size", "prefix"])
 
     def keys_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        return mask_keys(np.frombuffer(b"".join(column.to_pylist()), np.uint64).reshape(-1, SETS), SET_RADIUS)
+        data, at = text_bytes(column)
+        return np.repeat(np.arange(len(column)), np.diff(at) // 8), data.view(np.int64)
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        low = np.int64(2**BITS - 1)
+        for b in lean(batches):
+            out = []
+            for node, size, prefix, keys in zip(*(b.column(i).to_pylist() for i in range(4)), strict=True):
+                key = np.frombuffer(prefix, np.int64)
+                at = np.nonzero(np.isin(key & low, np.concatenate([unplanes(k, BITS // 8) for k in keys])))[0]
+                out.append((key[at], np.full(len(at), node), np.full(len(at), size, np.int32), at.astype(np.int32)))
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out, strict=True)], names=["key", "node", "size", "at"])
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in lean(batches):
@@ -236,13 +263,20 @@ def similar_documents(docs: DataFrame, width: int = 5, least: float = 0.8) -> Da
             keep = pa.array(good, pa.bool_())
             yield pa.RecordBatch.from_arrays([b.column(0).filter(keep), b.column(1).filter(keep)], names=["src", "dst"])
 
-    table = cut(docs.mapInArrow(prints, "doc_id long, digest binary, prints binary"), "wordsets")
-    nodes = table.groupBy("digest").agg(F.min("doc_id").alias("node"), F.min("prints").alias("prints"))
-    pairs = cut(star_pairs(nodes.select("node", "prints"), keys_of, buckets).distinct(), "pairs")
-    ends = pairs.select(F.col("src").alias("doc_id")).unionByName(pairs.select(F.col("dst").alias("doc_id"))).distinct()
-    shingles = cut(docs.join(ends, "doc_id", "left_semi").mapInArrow(sets, "node long, shingles binary").dropDuplicates(["node"]), "shingles")
-    left, right = (shingles.select(F.col("node").alias(c), F.col("shingles").alias(f"s_{c}")) for c in ("src", "dst"))
-    links_ = pairs.join(left, "src").join(right, "dst").select("src", "dst", "s_src", "s_dst").mapInArrow(verify, "src long, dst long")
-    joined = components(links_)
+    def verified(pairs: DataFrame) -> DataFrame:
+        ends = pairs.select(F.col("src").alias("doc_id")).unionByName(pairs.select(F.col("dst").alias("doc_id"))).distinct()
+        shingles = cut(docs.join(ends, "doc_id", "left_semi").mapInArrow(sets, "node long, shingles binary").dropDuplicates(["node"]), "shingles")
+        left, right = (shingles.select(F.col("node").alias(c), F.col("shingles").alias(f"s_{c}")) for c in ("src", "dst"))
+        return cut(pairs.join(left, "src").join(right, "dst").select("src", "dst", "s_src", "s_dst").mapInArrow(verify, "src long, dst long"), "links")
+
+    table = cut(docs.mapInArrow(prefixes, "doc_id long, digest binary, size int, prefix binary"), "prefixes")
+    nodes = cut(table.groupBy("digest").agg(F.min("doc_id").alias("node"), F.min("size").alias("size"), F.min("prefix").alias("prefix")).select("node", "size", "prefix"), "nodes")
+    flags = shared_keys(nodes.select(F.col("node").alias("doc_id"), F.col("prefix").alias("text")), keys_of, buckets).groupBy("doc_id").agg(F.collect_list("keys").alias("keys"))
+    keyed = nodes.join(flags.withColumnRenamed("doc_id", "node"), "node").select("node", "size", "prefix", "keys")
+    keyed = cut(keyed.mapInArrow(rows, "key long, node long, size int, at int"), "keyed")
+    heads = keyed.groupBy("key").agg(F.min(F.struct("node", "size", "at")).alias("head"))
+    stars = keyed.join(heads, "key").where(F.col("node") > F.col("head.node")).where(near_enough(F.col("size"), F.col("at"), F.col("head.size"), F.col("head.at"), least))
+    found = verified(cut(stars.select(F.col("node").alias("src"), F.col("head.node").alias("dst")).distinct(), "pairs"))
+    joined = components(found)
     named = table.groupBy("digest").agg(F.min("doc_id").alias("node")).join(joined, "node", "left").select("digest", F.coalesce("component", "node").alias("component_id"))
     return table.select("doc_id", "digest").join(named, "digest").select("doc_id", "component_id")

@@ -304,6 +304,23 @@ def test_similar_documents(spark, rows):
     assert simhash.similar_documents(empty(spark)).count() == 0
 
 
+def similar_by_brute_force(rows):
+    sets = {i: shingles(t) for i, t, _ in rows}
+    return components(sets, [(a, b) for a in sets for b in sets if a < b and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])])
+
+
+def test_similar_documents_with_new_words(spark):
+    rng = random.Random(12)
+    rows = []
+    for k in range(100):
+        n = (100, 30, 300, 12)[k % 4]
+        w, new = prose(rng, n, 8000).split(), [f"new{k}x{i}" for i in range(n // 6)]
+        edit = [w + new, new + w, w[: n // 2] + new + w[n // 2 :], ["first", *w[1:-1], "last"], w[: -len(new)]][k % 5]
+        rows += [(2 * k, " ".join(w), "a"), (2 * k + 1, " ".join(edit), "a")]
+    got = {r.doc_id: r.component_id for r in simhash.similar_documents(frame(spark, rows)).collect()}
+    assert got == similar_by_brute_force(rows)
+
+
 # 6
 
 
