@@ -211,12 +211,67 @@ def near_enough(n: Column, i: Column, m: Column, j: Column, least: float) -> Col
     return F.least(n - i, m - j) >= least / (1 + least) * (n + m) - 1e-6
 
 
+def open_pairs(keyed: DataFrame, least: float) -> DataFrame:
+    """(src, dst), src > dst: the nodes of each key, in pairs that no links connect yet and whose sizes and places let them be similar.
+
+    keyed: key, node and part (its component so far), long; size and at, int. Every pair of a key is looked at; a key of more than
+    BLOCK nodes in pairs of blocks, each of which is a task's work of its own.
+    """
+    many = keyed.groupBy("key").agg(F.count("*").alias("n"), F.min("part").alias("a"), F.max("part").alias("z")).where("a <> z")
+    split = keyed.join(many.select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "key")
+    split = split.withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    group = F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other")).alias("group")
+    ready = split.select(group, "node", "part", "size", "at").repartition(shuffle_width(keyed.sparkSession), "group").sortWithinPartitions("group")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest = [np.zeros(0, np.int64)] * 5
+        for b in batches:
+            if not b.num_rows:
+                continue
+            now = [np.concatenate([r, c.to_numpy(zero_copy_only=False)]) for r, c in zip(rest, b.columns, strict=True)]
+            whole = int(np.searchsorted(now[0], now[0][-1], "left"))  # the last group may go on
+            rest = [x[whole:] for x in now]
+            if whole:
+                yield from pairs([x[:whole] for x in now])
+        if len(rest[0]):
+            yield from pairs(rest)
+
+    def pairs(part: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        group, node, comp, size, at = part
+        cuts = np.nonzero(np.concatenate([[True], group[1:] != group[:-1], [True]]))[0]
+        stop = np.repeat(cuts[1:], np.diff(cuts))
+        rows, step, held, found = np.arange(len(node)), 1, 0, []
+        while True:
+            rows = rows[rows + step < stop[rows]]
+            if not len(rows):
+                break
+            far = rows + step
+            room = np.minimum(size[rows] - at[rows], size[far] - at[far])
+            near = (comp[rows] != comp[far]) & (room >= least / (1 + least) * (size[rows] + size[far]) - 1e-6)
+            a, b = node[rows[near]], node[far[near]]
+            found.append(np.stack([np.maximum(a, b), np.minimum(a, b)], 1))
+            held += len(a)
+            step += 1
+            if held > 500_000:
+                yield batch(found)
+                found, held = [], 0
+        if held:
+            yield batch(found)
+
+    def batch(found: list[np.ndarray]) -> pa.RecordBatch:
+        pair = np.unique(np.concatenate(found), axis=0)
+        return pa.RecordBatch.from_arrays([pa.array(pair[:, 0]), pa.array(pair[:, 1])], names=["src", "dst"])
+
+    return ready.mapInArrow(run, "src long, dst long").distinct()
+
+
 def similar_documents(docs: DataFrame, width: int = 5, least: float = 0.8) -> DataFrame:
     """(doc_id, component_id): near duplicates by the Jaccard similarity of their sets of `width`-word shingles, `least` or more.
 
     Candidates have one of the first shingles of both in common, in an order that puts rare ones first (prefix_of), which no pair
-    of that similarity escapes; candidates are verified on all shingles. Texts of the same words in the same order are one node
-    and never paired. component_id is the smallest doc_id reachable. Null texts are empty; rows with a null doc_id are not compared.
+    of that similarity escapes; candidates are verified on all shingles. First each node is compared with the smallest of each of
+    its keys, then with all others of its keys that the links found don't connect it to: these alone can change a component.
+    Texts of the same words in the same order are one node and never paired. component_id is the smallest doc_id reachable. Null texts are empty; rows with a null doc_id are not compared.
     """
     from segloom.llm.shared_keys import BITS, SPREAD, shared_keys, unplanes
 
@@ -277,6 +332,9 @@ def similar_documents(docs: DataFrame, width: int = 5, least: float = 0.8) -> Da
     heads = keyed.groupBy("key").agg(F.min(F.struct("node", "size", "at")).alias("head"))
     stars = keyed.join(heads, "key").where(F.col("node") > F.col("head.node")).where(near_enough(F.col("size"), F.col("at"), F.col("head.size"), F.col("head.at"), least))
     found = verified(cut(stars.select(F.col("node").alias("src"), F.col("head.node").alias("dst")).distinct(), "pairs"))
-    joined = components(found)
+    first = cut(components(found), "components")
+    parts = keyed.join(first, "node", "left").select("key", "node", F.coalesce("component", "node").alias("part"), "size", "at")
+    more = verified(cut(open_pairs(cut(parts, "parts"), least), "pairs"))
+    joined = components(first.select(F.col("node").alias("src"), F.col("component").alias("dst")).unionByName(more))
     named = table.groupBy("digest").agg(F.min("doc_id").alias("node")).join(joined, "node", "left").select("digest", F.coalesce("component", "node").alias("component_id"))
     return table.select("doc_id", "digest").join(named, "digest").select("doc_id", "component_id")

@@ -321,6 +321,20 @@ def test_similar_documents_with_new_words(spark):
     assert got == similar_by_brute_force(rows)
 
 
+def test_similar_documents_are_not_hidden_by_a_smaller_one(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "BLOCK", 8)
+    rng = random.Random(13)
+    rows = []
+    for k in range(12):  # all versions of a text meet under the keys of the first, which is too far from most of them
+        w = prose(rng, 120, 9000).split()
+        for i in range(12):
+            rows.append((20 * k + i, " ".join(w), "a"))
+            for _ in range(rng.choice([1, 2, 6])):
+                w[rng.randrange(120)] = f"new{rng.randrange(10**6)}"
+    got = {r.doc_id: r.component_id for r in simhash.similar_documents(frame(spark, rows)).collect()}
+    assert got == similar_by_brute_force(rows)
+
+
 # 6
 
 
