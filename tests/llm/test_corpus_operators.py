@@ -396,6 +396,24 @@ def test_verified_accepts_edits_and_rejects_strangers():
     assert compact_windows.verified(mine, 0, 70, other[:0]) == []
 
 
+def test_verified_aligns_repeats_and_insertions():
+    words = lambda r, n: r.integers(0, 2**63, n, dtype=np.uint64)
+    low = lambda w: compact_windows.tokens(w).astype(np.uint32)
+    rng = np.random.default_rng(2)
+    passage = words(rng, 60)
+    edited = passage.copy()
+    edited[30] += np.uint64(1)
+    other = np.concatenate([words(rng, 50), passage[10:15], words(rng, 40), passage, words(rng, 20)])
+    (got,) = {(a, b) for a, b in compact_windows.verified(low(edited), 0, 56, low(other))}
+    assert got == (0, 56)
+    whole = words(rng, 120)
+    mine = whole.copy()
+    mine[[30, 90]] += np.uint64(1)
+    other = np.concatenate([whole[:60], words(rng, 40), whole[60:]])
+    got = compact_windows.verified(low(mine), 0, 116, low(other))
+    assert {x for a, b in got for x in range(a, b)} >= {*range(56), *range(60, 116)}
+
+
 def test_shared_keys_and_stars(spark):
     rng = random.Random(9)
     have = {i: {rng.randint(0, 300) for _ in range(8)} for i in range(60)}
