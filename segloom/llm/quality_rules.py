@@ -57,32 +57,31 @@ def votes() -> dict[str, Column]:
     }
 
 
-def fit_votes(patterns: np.ndarray, counts: np.ndarray, rounds: int = 500, trust: float = 20.0) -> tuple[np.ndarray, np.ndarray]:
-    """Class shares and P(vote | class) of each rule, as [class, rule, vote], by EM.
-
-    patterns: distinct vote vectors; counts: documents of each. Class 0 is good text and class j bad text of the kind that rule
-    j - 1 is for: a rule sees one kind of fault, so bad text fools the other rules. Estimates start from rules that hardly ever
-    reject good text and mostly reject their kind, and are smoothed by one pseudo-document per vote. Votes alone cannot tell a
-    fault that comes without others from a rule that rejects good text at random, so a prior says which: each class counts
-    `trust` more documents for each one seen, of which a rule rejects 0.2 % of the good ones and 90 % of its own kind.
+#: Pseudo-documents of the prior, a fixed number whatever the corpus: what good text and each kind of bad text start from.
+TRUST, GOOD, OWN, OTHER = 100.0, 0.02, 0.8, 0.05
+
+
+def fit_votes(patterns: np.ndarray, counts: np.ndarray, rounds: int = 1000) -> tuple[np.ndarray, np.ndarray]:
+    """Class shares, and P(reject | class, the rule votes) as [class, rule], by EM.
+
+    patterns: distinct vote vectors; counts: documents of each. Class 0 is good text and class j a kind of bad text, that which rule
+    j - 1 is for, as bad text of one kind may well please the rules for others. An abstention says nothing of a class, so only votes
+    cast count. The start, and a prior of TRUST documents for good text and for each kind under its own rule (two elsewhere), say
+    that rules reject GOOD of good text, OWN of their kind and OTHER of the rest; the corpus outweighs that prior as it grows.
     """
     m = patterns.shape[1]
-    p = np.tile(np.array([0.05, 0.2, 0.75]), (m + 1, m, 1))
-    p[0] = 0.002, 0.2, 0.798
     kinds = np.arange(1, m + 1)
-    p[kinds, kinds - 1] = 0.9, 0.05, 0.05
-    first = p.copy()
-    share = np.array([0.85] + [0.15 / m] * m)
-    hot = np.eye(3)[patterns]
+    first, weight = np.full((m + 1, m), OTHER), np.full((m + 1, m), 2.0)
+    first[0], weight[0] = GOOD, TRUST
+    first[kinds, kinds - 1], weight[kinds, kinds - 1] = OWN, TRUST
+    share, p = np.array([0.85] + [0.15 / m] * m), first
+    reject, cast = (patterns == REJECT).astype(float), (patterns != ABSTAIN).astype(float)
     for _ in range(rounds):
-        weight = responsibilities(patterns, share, p) * counts
-        new = np.einsum("cn,nmv->cmv", weight, hot) + 1
-        new[0] += trust * counts.sum() * first[0]
-        new[kinds, kinds - 1] += trust * counts.sum() * first[kinds, kinds - 1]
-        new /= new.sum(2, keepdims=True)
-        parts = (weight.sum(1) + 1) / (counts.sum() + m + 1)
-        done = abs(new - p).max() < 1e-9
-        p, share = new, parts
+        part = responsibilities(patterns, share, p) * counts
+        new = np.clip((part @ reject + weight * first) / (part @ cast + weight), 1e-9, 1 - 1e-9)
+        share = (part.sum(1) + 1) / (counts.sum() + m + 1)
+        done = abs(new - p).max() < 1e-7
+        p = new
         if done:
             break
     return share, p
@@ -90,12 +89,17 @@ def fit_votes(patterns: np.ndarray, counts: np.ndarray, rounds: int = 500, trust
 
 def responsibilities(patterns: np.ndarray, share: np.ndarray, p: np.ndarray) -> np.ndarray:
     """P(class | votes) of each vote vector, as [class, vector]; class 0 is good text."""
-    rule = np.arange(patterns.shape[1])
-    logs = np.stack([np.log(p[c][rule, patterns]).sum(1) + np.log(share[c]) for c in range(len(share))])
+    reject, keep = (patterns == REJECT).astype(float), (patterns == KEEP).astype(float)
+    logs = np.log(p) @ reject.T + np.log1p(-p) @ keep.T + np.log(share)[:, None]
     weight = np.exp(logs - logs.max(0)) if logs.size else logs
     return weight / weight.sum(0)
 
 
+def accuracies(share: np.ndarray, p: np.ndarray) -> np.ndarray:
+    """(P(reject | good), P(reject | bad)) of each rule that votes, as [rule, 2]."""
+    return np.stack([p[0], share[1:] @ p[1:] / share[1:].sum()], 1)
+
+
 def judge(rows: DataFrame, threshold: float = 0.5) -> DataFrame:
     """rows of text_stats() with base_failed, posterior (of good text, double) and kept.
 

@@ -511,7 +511,46 @@ def test_text_stats(spark, rows):
         assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == (len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", t or "")), dup, len(covered))
 
 
-def test_em_finds_rules_and_faults():
+def naive_em(votes, rounds):
+    """fit_votes document by document, with plain numbers."""
+    m = len(votes[0])
+    prior = [[(quality_rules.GOOD, quality_rules.TRUST)] * m] + [[(quality_rules.OWN, quality_rules.TRUST) if i == j else (quality_rules.OTHER, 2.0) for i in range(m)] for j in range(m)]
+    share, p = [0.85] + [0.15 / m] * m, [[x for x, _ in row] for row in prior]
+
+    def posterior(v):
+        like = [share[c] * np.prod([{0: p[c][i], 1: 1.0, 2: 1 - p[c][i]}[x] for i, x in enumerate(v)]) for c in range(m + 1)]
+        return [x / sum(like) for x in like]
+
+    for _ in range(rounds):
+        part = [posterior(v) for v in votes]
+        p = [[(sum(w[c] for w, v in zip(part, votes, strict=True) if v[i] == 0) + prior[c][i][0] * prior[c][i][1]) / (sum(w[c] for w, v in zip(part, votes, strict=True) if v[i] != 1) + prior[c][i][1]) for i in range(m)] for c in range(m + 1)]
+        share = [(sum(w[c] for w in part) + 1) / (len(votes) + m + 1) for c in range(m + 1)]
+    return [posterior(v)[0] for v in votes], p
+
+
+def test_em_against_a_naive_one():
+    rng = np.random.default_rng(3)
+    votes = rng.choice(3, size=(300, 4), p=[0.15, 0.25, 0.6])
+    patterns, back, counts = np.unique(votes, axis=0, return_inverse=True, return_counts=True)
+    share, p = quality_rules.fit_votes(patterns, counts.astype(float), rounds=25)
+    good, q = naive_em(votes.tolist(), 25)
+    assert np.allclose(p, q) and np.allclose(quality_rules.responsibilities(patterns, share, p)[0][back.ravel()], good)
+
+
+@pytest.mark.parametrize("copies", [1, 100])
+def test_em_estimates_accuracies_that_differ_from_its_start(copies):
+    rng = np.random.default_rng(2)
+    n, m = 100_000, 9
+    bad = rng.random(n) < 0.2
+    reject = rng.random((n, m)) < np.where(bad[:, None], 0.4, 0.05)
+    votes = np.where(rng.random((n, m)) < 0.2, 1, np.where(reject, 0, 2))
+    patterns, counts = np.unique(votes, axis=0, return_counts=True)
+    share, p = quality_rules.fit_votes(patterns, counts * float(copies))
+    found = quality_rules.accuracies(share, p)
+    assert abs(found[:, 0] - 0.05).max() < 0.05 and abs(found[:, 1] - 0.4).max() < 0.05 and abs(share[0] - 0.8) < 0.05
+
+
+def test_em_finds_faults_that_come_alone():
     rng = np.random.default_rng(2)
     n, m = 20_000, 5
     bad = rng.random(n) < 0.15
@@ -519,12 +558,17 @@ def test_em_finds_rules_and_faults():
     votes = rng.choice(3, size=(n, m), p=[0.003, 0.2, 0.797])
     own = bad & (rng.random(n) < 0.9)
     votes[own, kind[own]] = 0
-    patterns, counts = np.unique(votes, axis=0, return_counts=True)
-    share, p = quality_rules.fit_votes(patterns, counts.astype(float))
-    good = quality_rules.responsibilities(patterns, share, p)[0]
-    judged = dict(zip(map(tuple, patterns), good, strict=True))
-    right = np.mean([(judged[tuple(v)] < 0.5) == b for v, b in zip(votes, bad, strict=True)])
-    assert right > 0.95 and abs(share[0] - 0.85) < 0.05
+    patterns, back, counts = np.unique(votes, axis=0, return_inverse=True, return_counts=True)
+    for copies in (1, 1000):
+        share, p = quality_rules.fit_votes(patterns, counts * float(copies))
+        good = quality_rules.responsibilities(patterns, share, p)[0][back.ravel()]
+        assert ((good < 0.5) == bad).mean() > 0.95 and abs(share[0] - 0.85) < 0.05
+
+
+def test_kept_is_the_verdict_of_a_naive_em(spark, rows):
+    got = quality_rules.judge(common.cut(quality_rules.text_stats(frame(spark, rows)).withColumns({f"vote_{k}": v for k, v in quality_rules.votes().items()}), "s")).collect()
+    good, _ = naive_em([[r[f"vote_{k}"] for k in quality_rules.votes()] for r in got], 1000)
+    assert all(abs(r.posterior - g) < 1e-3 and r.kept == (not r.base_failed and r.posterior >= 0.5) for r, g in zip(got, good, strict=True))
 
 
 def test_rules_on_odd_tables(spark, rows):
