@@ -437,21 +437,49 @@ def test_shared_keys_and_stars(spark):
 # 7
 
 
-def test_shards_are_level_and_gapless(spark, rows):
-    texts = [(i, t, s) for i, t, s in rows] + [(5000 + i, "same text", "a") for i in range(150)]
-    df = frame(spark, texts).select("doc_id", sharding.text_key("doc_id", "text").alias("k"), (F.octet_length(F.coalesce("text", F.lit(""))) + 1).cast("long").alias("size"), F.lit(1).alias("slot"), F.lit("x").alias("start"))
-    df = common.cut(df, "k")
-    out = sharding.shard(df, cells=4).collect()
+def keyed(spark, texts):
+    df = frame(spark, texts).select("doc_id", "text", sharding.text_key("doc_id", "text").alias("k"), (F.octet_length(F.coalesce("text", F.lit(""))) + 1).cast("long").alias("size"), F.lit(1).alias("slot"), F.lit("x").alias("start"))
+    return common.cut(df, "k")
+
+
+@pytest.mark.parametrize(("copies", "cells"), [(150, 4), (1000, 1), (3000, 7)])
+def test_shards_are_level_and_gapless_and_keep_equal_texts(spark, rows, copies, cells):
+    texts = [(i, t, s) for i, t, s in rows] + [(5000 + i, "same text", "a") for i in range(copies)] + [(9000, "t", "a")] * 2
+    df = keyed(spark, texts)
+    out = sharding.shard(df, cells=cells).collect()
     assert len(out) == len(texts) and {r.start for r in out} == {"x"}
-    sizes, slots = Counter(), {}
+    sizes, slots, where, groups = Counter(), {}, {}, Counter()
     for r in out:
         sizes[r.shard] += r.size
+        groups[r.text or ""] += r.size
         slots.setdefault(r.shard, []).append(r.slot)
-    largest = max(r.size for r in out)
-    assert max(sizes.values()) - sum(sizes.values()) / 8 <= largest and set(sizes) <= set(range(8))
-    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+        where.setdefault(r.text or "", set()).add(r.shard)
+    assert all(len(s) == 1 for s in where.values())
+    assert set(sizes) <= set(range(8)) and all(sorted(s) == list(range(len(s))) for s in slots.values())
+    heavy = {where[t].copy().pop() for t, n in groups.items() if n > sum(sizes.values()) / 8}
+    light = {s: n for s, n in sizes.items() if s not in heavy}
+    largest = max(n for t, n in groups.items() if not where[t] & heavy)
+    assert not light or max(light.values()) <= sum(light.values()) / (8 - len(heavy)) + largest
+
+
+def test_shards_of_odd_tables(spark, rows):
+    df = keyed(spark, rows)
     assert sharding.shard(df.limit(0)).count() == 0
     assert [r.slot for r in sharding.shard(df.limit(1)).collect()] == [0]
+    nothing = sharding.shard(df.withColumn("size", F.lit(None).cast("long")), cells=2).collect()
+    assert len(nothing) == len(rows)
+    alike = sharding.shard(keyed(spark, [(i, "one text", "a") for i in range(500)]), cells=5).collect()
+    assert len({r.shard for r in alike}) == 1 and sorted(r.slot for r in alike) == list(range(500))
+
+
+def test_splitters_bracket_their_goals(spark):
+    rng = random.Random(4)
+    keys = sorted([rng.randrange(1 << 63) for _ in range(300)] + [5 << 30] * 100)
+    df = spark.createDataFrame([(k, 1) for k in keys], "k long, size long").cache()
+    goals = [20 * i for i in range(1, 20)]
+    for a, x, b, y in sharding.splitters(df, goals, 0):
+        assert (x, y) == (sum(k < a for k in keys), sum(k < b for k in keys))
+    assert all(x <= g <= y for (_, x, _, y), g in zip(sharding.splitters(df, goals, 0), goals, strict=True))
 
 
 # 8
