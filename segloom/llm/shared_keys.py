@@ -19,8 +19,6 @@ from segloom.llm.common import lean
 BITS = 32
 #: Parts that one task's exchange is packed in, for each partition after it.
 SPREAD = 4
-#: Rows whose keys star_pairs() has in memory at once.
-STAR_ROWS = 2000
 
 
 def planes(values: np.ndarray, width: int) -> bytes:
@@ -75,12 +73,19 @@ def bucket_of(key: np.ndarray, buckets: int) -> np.ndarray:
     return ((key.view(np.uint64) >> np.uint64(BITS)) % np.uint64(buckets)).astype(np.int64)
 
 
+def hot_code(key: np.ndarray, buckets: int) -> np.ndarray:
+    """What stands for a key among the hot ones: its bucket and low bits."""
+    return (bucket_of(key, buckets) << BITS) | (key & np.int64(2**BITS - 1))
+
+
 SCHEMA = "bucket int, known boolean, keys binary, docs binary, many binary"
 
 
-def shared_keys(docs: DataFrame, keys_of: Callable[[pa.Array], tuple[np.ndarray, np.ndarray]], buckets: int) -> DataFrame:
+def shared_keys(docs: DataFrame, keys_of: Callable[[pa.Array], tuple[np.ndarray, np.ndarray]], buckets: int, hot: int | None = None) -> DataFrame:
     """(doc_id, keys binary): packed low bits of those of each document's keys that another document has too; several rows a document.
 
+    With `hot`, rows without doc_id hold the hot_code() of keys that so many documents or more have.
+
     docs: doc_id long, not null, and text. keys_of gives (row, 64-bit key) of a batch of texts. A key that several documents of a
     batch have is settled there, and one of them speaks for it to other batches, so a key of a third of all documents sends one
     entry a batch.
@@ -99,9 +104,9 @@ def shared_keys(docs: DataFrame, keys_of: Callable[[pa.Array], tuple[np.ndarray,
             key, doc = key[new], doc[new]  # each key once a document
             first = np.concatenate([[True], key[1:] != key[:-1]])
             size = np.diff(np.concatenate([np.nonzero(first)[0], [len(key)]]))
-            many = np.repeat(size > 1, size)
+            many = np.repeat(size, size)
             out = []
-            for known, part in ((False, first), (True, many)):
+            for known, part in ((False, first), (True, many > 1)):
                 k, d, m = key[part], doc[part], many[part]
                 if known:  # any bucket will do; a document's rows stay together
                     where = (d.view(np.uint64) % np.uint64(buckets)).astype(np.int64)
@@ -109,73 +114,37 @@ def shared_keys(docs: DataFrame, keys_of: Callable[[pa.Array], tuple[np.ndarray,
                     where = bucket_of(k, buckets)
                 order = np.argsort(d, kind="stable")  # ids in order take few bytes
                 k, d, m = k[order], d[order], m[order]
-                out += [(i, known, planes(k[at], BITS // 8), squeezed(planes(d[at], 8)), np.packbits(m[at]).tobytes()) for i, at in by_bucket(where[order])]
+                out += [(i, known, planes(k[at], BITS // 8), squeezed(planes(d[at], 8)), b"" if known else squeezed(planes(m[at], 2))) for i, at in by_bucket(where[order])]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int32(), pa.bool_(), pa.binary(), pa.binary(), pa.binary()), strict=True)], names=["bucket", "known", "keys", "docs", "many"])
 
     def settle(group: pa.Table) -> pa.Table:
         rows = group.to_pylist()
         said = [r for r in rows if r["known"]]
+        popular = np.zeros(0, np.int64)
         key = [unplanes(r["keys"], BITS // 8) for r in said]
         doc = [unplanes(expanded(r["docs"]), 8) for r in said]
         asked = [r for r in rows if not r["known"]]
         if asked:
             k = np.concatenate([unplanes(r["keys"], BITS // 8) for r in asked])
             d = np.concatenate([unplanes(expanded(r["docs"]), 8) for r in asked])
-            m = np.concatenate([np.unpackbits(np.frombuffer(r["many"], np.uint8), count=len(r["keys"]) // (BITS // 8)) for r in asked])
+            m = np.concatenate([unplanes(expanded(r["many"]), 2) for r in asked])
             order = np.argsort(k, kind="stable")
             k, d, m = k[order], d[order], m[order]
-            size = np.diff(np.concatenate([np.nonzero(np.concatenate([[True], k[1:] != k[:-1]]))[0], [len(k)]]))
-            found = np.repeat(size > 1, size) & (m == 0)
+            starts = np.nonzero(np.concatenate([[True], k[1:] != k[:-1]]))[0]
+            size = np.diff(np.concatenate([starts, [len(k)]]))
+            found = np.repeat(size > 1, size) & (m == 1)
+            if hot:
+                popular = k[starts][np.add.reduceat(m, starts) >= hot] & low
             key.append(k[found])
             doc.append(d[found])
         key, doc = np.concatenate(key) & low, np.concatenate(doc)
         order = np.argsort(doc, kind="stable")
         key, doc = key[order], doc[order]
         at = np.concatenate([np.nonzero(np.concatenate([[True], doc[1:] != doc[:-1]]))[0], [len(doc)]]) if len(doc) else np.zeros(1, int)
-        return pa.table({"doc_id": pa.array(doc[at[:-1]], pa.int64()), "keys": pa.array([planes(key[a:b], BITS // 8) for a, b in zip(at[:-1], at[1:], strict=True)], pa.binary())})
+        ids, packed = doc[at[:-1]].tolist(), [planes(key[a:b], BITS // 8) for a, b in zip(at[:-1], at[1:], strict=True)]
+        if len(popular):
+            ids.append(None)
+            packed.append(((np.int64(rows[0]["bucket"]) << BITS) | popular).tobytes())
+        return pa.table({"doc_id": pa.array(ids, pa.int64()), "keys": pa.array(packed, pa.binary())})
 
     return docs.select("doc_id", "text").mapInArrow(send, SCHEMA).groupBy("bucket").applyInArrow(settle, "doc_id long, keys binary")
-
-
-def star_pairs(rows: DataFrame, keys_of: Callable[[pa.Array], tuple[np.ndarray, np.ndarray]], buckets: int) -> DataFrame:
-    """(src, dst), long: each id with the smallest id that has one of its keys; repeated.
-
-    rows: an id, long and not null, and a column for keys_of. A batch pairs its own ids with the smallest of them, which alone is
-    sent on, so a hot key sends one entry a batch; and so a key's ids hang together over two steps.
-    """
-
-    def star(key: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Ids and keys by key and id, and where a key's smallest id stands."""
-        order = np.lexsort((doc, key))
-        key, doc = key[order], doc[order]
-        first = np.concatenate([[True], key[1:] != key[:-1]])
-        return key, doc, np.maximum.accumulate(np.where(first, np.arange(len(key)), 0))
-
-    def edges(doc: np.ndarray, head: np.ndarray) -> np.ndarray:
-        differ = doc != doc[head]
-        return np.unique(np.stack([doc[differ], doc[head][differ]], 1), axis=0)
-
-    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in lean(batches, STAR_ROWS):
-            row, key = keys_of(b.column(1))
-            if not len(row):
-                continue
-            key, doc, head = star(key, b.column(0).to_numpy()[row])
-            own = head == np.arange(len(head))
-            pair = edges(doc, head)
-            out = [(i, False, planes(key[own][at], BITS // 8), squeezed(planes(doc[own][at], 8))) for i, at in by_bucket(bucket_of(key[own], buckets))]
-            if len(pair):
-                out += [(i, True, squeezed(planes(pair[at, 0], 8)), squeezed(planes(pair[at, 1], 8))) for i, at in by_bucket((pair[:, 0].view(np.uint64) % np.uint64(buckets)).astype(np.int64))]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int32(), pa.bool_(), pa.binary(), pa.binary()), strict=True)], names=["bucket", "known", "a", "b"])
-
-    def settle(group: pa.Table) -> pa.Table:
-        found = group.to_pylist()
-        out = [np.stack([unplanes(expanded(r["a"]), 8), unplanes(expanded(r["b"]), 8)], 1) for r in found if r["known"]]
-        sent = [r for r in found if not r["known"]]
-        if sent:
-            _, doc, head = star(np.concatenate([unplanes(r["a"], BITS // 8) for r in sent]), np.concatenate([unplanes(expanded(r["b"]), 8) for r in sent]))
-            out.append(edges(doc, head))
-        pair = np.unique(np.concatenate(out), axis=0)
-        return pa.table({"src": pair[:, 0], "dst": pair[:, 1]})
-
-    return rows.mapInArrow(send, "bucket int, known boolean, a binary, b binary").groupBy("bucket").applyInArrow(settle, "src long, dst long")

@@ -13,11 +13,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from segloom.llm.common import cut, lean, shuffle_width, text_bytes
-from segloom.llm.shared_keys import BITS, SPREAD, bucket_of, by_bucket, expanded, expanded_text, planes, shared_keys, squeezed, squeezed_text, unplanes
+from segloom.llm.shared_keys import BITS, SPREAD, bucket_of, by_bucket, expanded, expanded_text, hot_code, planes, shared_keys, squeezed, squeezed_text, unplanes
 
 WINDOW, PIECE = 50, 24
 #: Window starts that are worked on at once; a document may go over several steps.
@@ -145,21 +146,34 @@ def later_windows(data: np.ndarray, start: np.ndarray, windows: np.ndarray, doc:
     return string[late[new]], offset[late[new]], offset[late[end]]
 
 
-PARTS = "bucket int, known boolean, doc binary, first binary, windows binary, data binary"
-SPANS = "doc_id long, lo long, hi long"
+#: A minimizer is hot if HOT documents have it, or one in HOT_SHARE if that is more: of such there are no more than HOT_SHARE times the
+#: minimizers of a document, so a list of them can go to all tasks.
+HOT, HOT_SHARE = 1000, 10_000
+PARTS = "bucket int, known boolean, doc binary, first binary, windows binary, times binary, data binary"
+SPANS = "doc_id long, tag long, lo long, hi long"
 
 
-def candidates(joined: DataFrame, buckets: int) -> DataFrame:
+def tag_of(raw: bytes) -> int:
+    """31 bits of a text's hash; a position in the text and its tag are one integer."""
+    return xxhash.xxh3_64_intdigest(raw) >> 33
+
+
+def candidates(joined: DataFrame, buckets: int, hot: np.ndarray) -> DataFrame:
     """PARTS rows: the strings of each document's windows whose minimizer another document has.
 
-    joined: doc_id, text (squeezed), keys (array of binary). Strings of one content that are worked on together are sent for the smallest
-    doc_id; the windows of the others are known to be late, and go along as such without their bytes.
+    joined: doc_id, text (squeezed), keys (array of binary). Strings of one content that are worked on together are sent once, for the
+    smallest doc_id, with all their places in it; the windows of the others are known to be late, and go along as such without their
+    bytes. Strings of a hot minimizer are taken apart in their windows, and each is filed under a hash of all of it, so a hot
+    minimizer, as of a template with varying ends, is dealt to all buckets.
     """
+    hot = np.sort(hot)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in lean(batches, 5000):
             data, at = text_bytes(expanded_text(b.column(1)))
             doc = b.column(0).to_numpy()
+            whole = data.tobytes()
+            tags = np.array([tag_of(whole[a:z]) for a, z in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)], np.int64)
             want = [np.concatenate([unplanes(x, BITS // 8) for x in k]) for k in b.column(2).to_pylist()]
             wanted = np.unique(np.concatenate([w ^ (np.int64(i) << BITS) for i, w in enumerate(want)]))
             parts: dict[tuple[int, bool], list] = {}
@@ -170,32 +184,56 @@ def candidates(joined: DataFrame, buckets: int) -> DataFrame:
                 row, key, first, last = row[hit], key[hit], first[hit], last[hit]
                 if not len(row):
                     continue
+                place = bucket_of(key, buckets)
+                apart = np.zeros(len(key), bool)
+                if len(hot):
+                    code = hot_code(key, buckets)
+                    apart = hot[np.minimum(np.searchsorted(hot, code), len(hot) - 1)] == code
+                if apart.any():
+                    n = np.where(apart, last - first + 1, 1)
+                    step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+                    row, first, last, place, apart = (np.repeat(x, n) for x in (row, first, last, place, apart))
+                    first = first + step
+                    last = np.where(apart, first, last)
                 order = np.argsort(doc[row], kind="stable")
-                row, key, first, last = row[order], key[order], first[order], last[order]
+                row, first, last, place, apart = (x[order] for x in (row, first, last, place, apart))
                 seen: dict[bytes, int] = {}
                 base = int(first.min())
                 raw = data[base : last.max() + WINDOW].tobytes()
                 texts = [raw[a:z] for a, z in zip((first - base).tolist(), (last - base + WINDOW).tolist(), strict=True)]
                 mine = np.array([seen.setdefault(t, i) for i, t in enumerate(texts)])
                 late = doc[row[mine]] < doc[row]
-                for known, where in ((False, np.nonzero(~late)[0]), (True, np.nonzero(late)[0])):
-                    place = (doc[row[where]].view(np.uint64) % np.uint64(buckets)).astype(np.int64) if known else bucket_of(key[where], buckets)
-                    for i, which in by_bucket(place):
-                        j = where[which]
-                        kept = parts.setdefault((i, known), [[], [], [], []])
-                        for column, x in zip(kept, (doc[row[j]], first[j] - at[row[j]], last[j] - first[j] + 1, [] if known else [texts[t] for t in j.tolist()]), strict=True):
-                            column.append(x)
+                known, own = np.nonzero(late)[0], np.nonzero(~late)[0]
+                own = own[np.argsort(mine[own], kind="stable")]  # the places of a string stand together
+                lead = mine[own] == own
+                times = np.diff(np.concatenate([np.nonzero(lead)[0], [len(own)]]))
+                own, at_ = own[lead], own
+                for i in np.nonzero(apart[own])[0].tolist():
+                    place[own[i]] = xxhash.xxh3_64_intdigest(texts[own[i]]) % buckets
+                spot = (tags[row] << 32) | (first - at[row])
+                ends = np.cumsum(times)
+                for i, which in by_bucket(place[own]):
+                    spread_ = np.repeat(ends[which] - times[which], times[which]) + np.arange(times[which].sum()) - np.repeat(np.cumsum(times[which]) - times[which], times[which])
+                    kept = parts.setdefault((i, False), [[], [], [], [], []])
+                    j = own[which]
+                    for column, x in zip(kept, (doc[row[j]], spot[at_[spread_]], last[j] - first[j] + 1, times[which], [texts[t] for t in j.tolist()]), strict=True):
+                        column.append(x)
+                for i, which in by_bucket((doc[row[known]].view(np.uint64) % np.uint64(buckets)).astype(np.int64)):
+                    j = known[which]
+                    kept = parts.setdefault((i, True), [[], [], [], [], []])
+                    for column, x in zip(kept, (doc[row[j]], spot[j], last[j] - first[j] + 1, j[:0], []), strict=True):
+                        column.append(x)
             if parts:
                 out = []
-                for (i, known), (d, f, n, t) in parts.items():
-                    out.append((i, known, squeezed(planes(np.concatenate(d), 8)), squeezed(planes(np.concatenate(f), 8)), planes(np.concatenate(n), 1), squeezed(b"".join([x for part in t for x in part]))))
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int32(), pa.bool_(), *[pa.binary()] * 4), strict=True)], names=["bucket", "known", "doc", "first", "windows", "data"])
+                for (i, known), (d, f, n, k, t) in parts.items():
+                    out.append((i, known, squeezed(planes(np.concatenate(d), 8)), squeezed(planes(np.concatenate(f), 8)), planes(np.concatenate(n), 1), squeezed(planes(np.concatenate(k), 4)), squeezed(b"".join([x for part in t for x in part]))))
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int32(), pa.bool_(), *[pa.binary()] * 5), strict=True)], names=["bucket", "known", "doc", "first", "windows", "times", "data"])
 
     return joined.select("doc_id", "text", "keys").mapInArrow(run, PARTS)
 
 
 def late_spans(parts: DataFrame) -> DataFrame:
-    """(doc_id, lo, hi): bytes lo to hi of a document that windows of smaller documents cover; they may overlap."""
+    """(doc_id, tag, lo, hi): bytes lo to hi of a text that windows of smaller documents cover; spans of several tasks may overlap."""
 
     def run(group: pa.Table) -> pa.Table:
         rows = group.to_pylist()
@@ -207,17 +245,32 @@ def late_spans(parts: DataFrame) -> DataFrame:
         if sent:
             d, f = (np.concatenate([unplanes(expanded(r[c]), 8) for r in sent]) for c in ("doc", "first"))
             n = np.concatenate([unplanes(r["windows"], 1) for r in sent])
+            times = np.concatenate([unplanes(expanded(r["times"]), 4) for r in sent])
             data = np.frombuffer(b"".join([expanded(r["data"]) for r in sent]), np.uint8)
             length = n + WINDOW - 1
             string, a, z = later_windows(data, np.cumsum(length) - length, n, d)
-            doc.append(d[string])
-            lo.append(f[string] + a)
-            hi.append(f[string] + z + 1)
-        return pa.table({"doc_id": np.concatenate(doc), "lo": np.concatenate(lo), "hi": np.concatenate(hi) + (WINDOW - 1)})
+            many = times[string]
+            place = np.repeat((np.cumsum(times) - times)[string], many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+            doc.append(np.repeat(d[string], many))
+            lo.append(f[place] + np.repeat(a, many))
+            hi.append(f[place] + np.repeat(z, many) + 1)
+        doc, lo, hi = joined(np.concatenate(doc), np.concatenate(lo), np.concatenate(hi) + (WINDOW - 1))
+        low = np.int64(2**32 - 1)
+        return pa.table({"doc_id": doc, "tag": lo >> 32, "lo": lo & low, "hi": hi & low})
 
     return parts.groupBy("bucket").applyInArrow(run, SPANS)
 
 
+def joined(doc: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Spans of each document with those that touch made one; they are of like length, so ends rise with beginnings but for a window."""
+    order = np.lexsort((lo, doc))
+    doc, lo, hi = doc[order], lo[order], hi[order]
+    new = np.ones(len(doc), bool)
+    new[1:] = (doc[1:] != doc[:-1]) | (lo[1:] > hi[:-1])
+    at = np.nonzero(new)[0]
+    return doc[at], lo[at], np.maximum.reduceat(hi, at) if len(at) else hi
+
+
 def merge(lo: np.ndarray, hi: np.ndarray) -> list[tuple[int, int]]:
     """Union of spans as maximal runs; spans that touch are one run."""
     order = np.argsort(lo, kind="stable")
@@ -227,18 +280,21 @@ def merge(lo: np.ndarray, hi: np.ndarray) -> list[tuple[int, int]]:
 
 
 def repeated(docs: DataFrame) -> DataFrame:
-    """(doc_id, spans array<struct<lo,hi>>): of each document with any, the maximal runs of bytes to remove.
+    """(doc_id, spans array<struct<lo,hi,tag>>): of each document with any, bytes to remove; spans may overlap.
 
     docs: doc_id long and text. A byte is removed if a 50-byte string that covers it also starts in a document with a smaller
     doc_id; all is judged on the input. Null texts are empty; rows with a null doc_id neither remove nor are removed. Rows with one
-    doc_id do not count as each other's repeats; they must hold the same text.
+    doc_id do not count as each other's repeats; if their texts differ, each is judged by itself, and `tag` tells whose a span is.
     """
     spark = docs.sparkSession
     buckets = SPREAD * shuffle_width(spark)
+    hot = max(HOT, docs.count() // HOT_SHARE)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).where(f"doc_id is not null and octet_length(text) >= {WINDOW}")
-    flags = shared_keys(docs, keys_of, buckets).groupBy("doc_id").agg(F.collect_list("keys").alias("keys"))
-    found = late_spans(candidates(squeezed_text(docs).join(flags, "doc_id"), buckets))
-    return found.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("lo", "hi"))).alias("spans"))
+    shared = cut(shared_keys(docs, keys_of, buckets, hot), "keys")
+    popular = [np.frombuffer(r["keys"], np.int64) for r in shared.where("doc_id is null").select("keys").toLocalIterator()]
+    flags = shared.where("doc_id is not null").groupBy("doc_id").agg(F.collect_list("keys").alias("keys"))
+    found = late_spans(candidates(squeezed_text(docs).join(flags, "doc_id"), buckets, np.concatenate([np.zeros(0, np.int64), *popular])))
+    return found.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("lo", "hi", "tag"))).alias("spans"))
 
 
 def remove(docs: DataFrame, spans: DataFrame, text: str = "text", keep_text: bool = True) -> DataFrame:
@@ -253,7 +309,11 @@ def remove(docs: DataFrame, spans: DataFrame, text: str = "text", keep_text: boo
             texts, sizes, gone, counts, sums = [], [], [], [], []
             for t, s in zip(b.column(text), b.column("_spans"), strict=True):
                 raw = expanded(t.as_buffer()) if t.is_valid else b""
-                runs_ = merge(*(s.values.field(k).to_numpy() for k in ("lo", "hi"))) if s.is_valid and len(s) else []
+                runs_ = []
+                if s.is_valid and len(s):
+                    lo, hi, tag = (s.values.field(k).to_numpy() for k in ("lo", "hi", "tag"))
+                    own = tag == tag_of(raw)
+                    runs_ = merge(lo[own], hi[own]) if own.any() else []
                 edge = [0, *[x for r in runs_ for x in r], len(raw)]
                 left = b"".join([raw[a:z] for a, z in zip(edge[::2], edge[1::2], strict=True)])
                 texts.append(left if keep_text else None)
@@ -270,5 +330,3 @@ def remove(docs: DataFrame, spans: DataFrame, text: str = "text", keep_text: boo
 def op2(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     return remove(docs, cut(repeated(docs), "spans"), keep_text=False).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
-
-

@@ -125,6 +125,40 @@ def test_suffix_dedup_is_exact(spark, rows):
     assert suffix_dedup.remove(twice, suffix_dedup.repeated(twice)).where("doc_id is null and n_removed = 0").count() == 1
 
 
+def removed(docs):
+    return {(r.doc_id, r.n_bytes): r for r in suffix_dedup.remove(docs, common.cut(suffix_dedup.repeated(docs), "spans")).collect()}
+
+
+def test_suffix_dedup_of_hot_minimizers_and_periodic_texts(spark, monkeypatch):
+    rng = random.Random(12)
+    template = prose(rng, 14, 10_000)
+    texts = [template[:60] + f" {rng.randrange(10**9)} {prose(rng, 6, 9000)}" for _ in range(60)]
+    texts += ["-" * 3000, "-" * 700 + " end", "ab" * 900, "x" + "ab" * 300, "-" * 80 + "ab" * 80, "abc" * 400]
+    rows = [(3 * i % 67, t, "a") for i, t in enumerate(texts)]
+    want = late_bytes(rows)
+    for hot in (2, 1000):
+        monkeypatch.setattr(suffix_dedup, "HOT", hot)
+        got = removed(frame(spark, rows))
+        for i, (raw, late) in want.items():
+            assert bytes(got[i, len(raw)].text) == bytes(np.frombuffer(raw, np.uint8)[~late])
+
+
+def test_strings_of_a_periodic_text_travel_once(spark):
+    docs = spark.createDataFrame([(1, "ab" * 10_000), (2, "ab" * 10_000)], "doc_id long, text string").coalesce(1)
+    shared = suffix_dedup.shared_keys(docs, suffix_dedup.keys_of, 4).groupBy("doc_id").agg(F.collect_list("keys").alias("keys"))
+    parts = suffix_dedup.candidates(shared_keys.squeezed_text(docs).join(shared, "doc_id").coalesce(1), 4, np.zeros(0, np.int64)).where("not known").collect()
+    assert sum(len(shared_keys.expanded(r["data"])) for r in parts) < 1000
+
+
+def test_rows_of_one_id_with_other_texts_are_judged_alone(spark):
+    rng = random.Random(13)
+    first, second = prose(rng, 30, 10_000), prose(rng, 40, 10_000)
+    docs = frame(spark, [(1, first, "a"), (2, second, "a"), (2, first + " " + second, "a"), (3, "tail " + second, "b"), (3, "none of it", "b")])
+    got = removed(docs)
+    assert got[2, len(second)].n_removed == 0 and got[2, len(first + second) + 1].n_removed == len(first)
+    assert got[3, len(second) + 5].n_removed >= len(second) and got[3, 10].n_removed == 0
+
+
 def test_suffix_classes_are_equality_of_windows():
     rng = np.random.default_rng(3)
     data = rng.integers(97, 99, 3000).astype(np.uint8)
@@ -219,13 +253,37 @@ def test_tiles_find_the_links_of_double_precision(spark):
     assert embeddings.near_duplicates(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
 
 
-def test_quantisation_bound_holds():
+def test_quantisation_bounds_hold():
     rng = np.random.default_rng(6)
     x = rng.normal(size=(300, 64))
     x /= np.linalg.norm(x, axis=1, keepdims=True)
-    q, s, e = embeddings.quantise(x)
-    about = (s[:, None] * q) @ (s[:, None] * q).T
-    assert (abs(about - x @ x.T) <= e[:, None] + e + e[:, None] * e + 1e-12).all()
+    v = embeddings.quantise(x)
+    every = np.arange(len(x))
+    for y, e in ((v.s[:, None] * v.q, v.e), (v.doubles(every), v.f)):
+        assert (np.linalg.norm(x - y, axis=1) <= e).all()
+        assert (abs(y @ y.T - x @ x.T) <= e[:, None] + e + e[:, None] * e + 1e-12).all()
+    assert v.f.max() < v.e.max() / 100
+
+
+def test_tiles_in_many_sides_settle_pairs_at_the_threshold(spark, monkeypatch):
+    monkeypatch.setattr(embeddings, "BLOCK", 16)
+    monkeypatch.setattr(embeddings, "SIDE", 16 * 2 * 16)
+    monkeypatch.setattr(embeddings, "WIDE", 7)
+    monkeypatch.setattr(embeddings, "STRIPE", 5)
+    rng = np.random.default_rng(8)
+    base = rng.normal(size=(40, 16))
+    base /= np.linalg.norm(base, axis=1, keepdims=True)
+    side = rng.normal(size=(40, 16))
+    side -= (side * base).sum(1, keepdims=True) * base
+    side /= np.linalg.norm(side, axis=1, keepdims=True)
+    cosine = 0.9 + np.repeat([1e-9, -1e-9, 1e-5, -1e-5], 10)
+    x = np.concatenate([base, cosine[:, None] * base + np.sqrt(1 - cosine**2)[:, None] * side])
+    got = {r.vec_id: r for r in embeddings.near_duplicates(spark.createDataFrame(list(enumerate(x.tolist())), "vec_id long, embedding array<double>")).collect()}
+    near = x @ x.T / np.linalg.norm(x, axis=1) / np.linalg.norm(x, axis=1)[:, None] >= 0.9
+    np.fill_diagonal(near, False)
+    comp = components(range(len(x)), zip(*np.nonzero(near), strict=True))
+    assert near.sum() >= 40
+    assert all((got[i].n_links, got[i].component_id) == (near[i].sum(), comp[i]) for i in range(len(x)))
 
 
 # 5
@@ -429,9 +487,9 @@ def test_shared_keys_and_stars(spark):
     for r in shared_keys.shared_keys(df, keys_of, 5).collect():
         got.setdefault(r.doc_id, set()).update(shared_keys.unplanes(r["keys"], shared_keys.BITS // 8).tolist())
     assert got == {i: w for i, ks in have.items() if (w := {mixed(k) % 2**shared_keys.BITS for k in ks if count[k] > 1})}
-    pairs = [(r.src, r.dst) for r in shared_keys.star_pairs(df, keys_of, 5).collect()]
-    assert all(a > b and have[a] & have[b] for a, b in pairs)
-    assert components(have, pairs) == components(have, [(a, b) for a in have for b in have if a < b and have[a] & have[b]])
+    most = max(count.values())
+    hot = np.concatenate([np.frombuffer(r["keys"], np.int64) for r in shared_keys.shared_keys(df, keys_of, 5, most).where("doc_id is null").collect()])
+    assert set(hot.tolist()) == set(shared_keys.hot_code(np.array([mixed(k) for k in count if count[k] == most]), 5).tolist())
 
 
 # 7
