@@ -268,10 +268,14 @@ def open_pairs(keyed: DataFrame, least: float) -> DataFrame:
 def similar_documents(docs: DataFrame, width: int = 5, least: float = 0.8) -> DataFrame:
     """(doc_id, component_id): near duplicates by the Jaccard similarity of their sets of `width`-word shingles, `least` or more.
 
-    Candidates have one of the first shingles of both in common, in an order that puts rare ones first (prefix_of), which no pair
-    of that similarity escapes; candidates are verified on all shingles. First each node is compared with the smallest of each of
-    its keys, then with all others of its keys that the links found don't connect it to: these alone can change a component.
-    Texts of the same words in the same order are one node and never paired. component_id is the smallest doc_id reachable. Null texts are empty; rows with a null doc_id are not compared.
+    Candidates come from covering SimHash: links() of the fingerprints of the shingle sets, and are verified on all shingles. As
+    fingerprints of sets at 0.8 differ in ten bits of 64 on average, and masks for that radius would be too many, a prefix filter
+    completes them: similar sets have one of the first shingles of both in common, in an order that puts rare ones first
+    (prefix_of). Each node is compared with the smallest of each such key, and then with all others of its keys that no link
+    connects it to yet: these alone can change a component, so no pair escapes.
+
+    Texts of the same words in the same order are one node and never paired. component_id is the smallest doc_id reachable. Null
+    texts are empty; rows with a null doc_id are not compared; rows of one doc_id are compared each by its own text.
     """
     from segloom.llm.shared_keys import BITS, SPREAD, shared_keys, unplanes
 
@@ -281,14 +285,16 @@ def similar_documents(docs: DataFrame, width: int = 5, least: float = 0.8) -> Da
 
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in lean(batches):
-            digest, size, prefix = [], [], []
+            digest, size, prefix, prints = [], [], [], []
             for t in b.column(1):
                 words = t.as_buffer().to_pybytes().lower().split()
                 own = shingles_of(words, width)
                 digest.append(xxhash.xxh3_128_digest(b" ".join(words)))
                 size.append(len(own))
                 prefix.append(prefix_of(own, hot, least).tobytes())
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(digest, pa.binary()), pa.array(size, pa.int32()), pa.array(prefix, pa.binary())], names=["doc_id", "digest", "size", "prefix"])
+                prints.append(fingerprint_of(own, np.array([0, len(own)])))
+            fp = pa.array(np.concatenate(prints).view(np.int64))
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(digest, pa.binary()), pa.array(size, pa.int32()), pa.array(prefix, pa.binary()), fp], names=["doc_id", "digest", "size", "prefix", "fp"])
 
     def keys_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         data, at = text_bytes(column)
@@ -324,14 +330,17 @@ def similar_documents(docs: DataFrame, width: int = 5, least: float = 0.8) -> Da
         left, right = (shingles.select(F.col("node").alias(c), F.col("shingles").alias(f"s_{c}")) for c in ("src", "dst"))
         return cut(pairs.join(left, "src").join(right, "dst").select("src", "dst", "s_src", "s_dst").mapInArrow(verify, "src long, dst long"), "links")
 
-    table = cut(docs.mapInArrow(prefixes, "doc_id long, digest binary, size int, prefix binary"), "prefixes")
-    nodes = cut(table.groupBy("digest").agg(F.min("doc_id").alias("node"), F.min("size").alias("size"), F.min("prefix").alias("prefix")).select("node", "size", "prefix"), "nodes")
+    table = cut(docs.mapInArrow(prefixes, "doc_id long, digest binary, size int, prefix binary, fp long"), "prefixes")
+    nodes = cut(table.groupBy("digest").agg(F.min("doc_id").alias("node"), F.min("size").alias("size"), F.min("prefix").alias("prefix"), F.min("fp").alias("fp")).select("node", "size", "prefix", "fp"), "nodes")
+    prints = cut(nodes.groupBy("fp").agg(F.min("node").alias("node")), "prints")
+    twins = nodes.join(prints.withColumnRenamed("node", "first"), "fp").where("node > first").select(F.col("node").alias("src"), F.col("first").alias("dst"))
+    sketched = links(prints).select(F.greatest("src", "dst").alias("src"), F.least("src", "dst").alias("dst")).unionByName(twins)
     flags = shared_keys(nodes.select(F.col("node").alias("doc_id"), F.col("prefix").alias("text")), keys_of, buckets).groupBy("doc_id").agg(F.collect_list("keys").alias("keys"))
     keyed = nodes.join(flags.withColumnRenamed("doc_id", "node"), "node").select("node", "size", "prefix", "keys")
     keyed = cut(keyed.mapInArrow(rows, "key long, node long, size int, at int"), "keyed")
     heads = keyed.groupBy("key").agg(F.min(F.struct("node", "size", "at")).alias("head"))
     stars = keyed.join(heads, "key").where(F.col("node") > F.col("head.node")).where(near_enough(F.col("size"), F.col("at"), F.col("head.size"), F.col("head.at"), least))
-    found = verified(cut(stars.select(F.col("node").alias("src"), F.col("head.node").alias("dst")).distinct(), "pairs"))
+    found = verified(cut(sketched.unionByName(stars.select(F.col("node").alias("src"), F.col("head.node").alias("dst"))).distinct(), "pairs"))
     first = cut(components(found), "components")
     parts = keyed.join(first, "node", "left").select("key", "node", F.coalesce("component", "node").alias("part"), "size", "at")
     more = verified(cut(open_pairs(cut(parts, "parts"), least), "pairs"))
