@@ -9,6 +9,7 @@ from segloom.functions.text import tokens
 from segloom.operators import kernels
 from segloom.operators.gates import action_contradictions, citations_ok
 from segloom.operators.windows import along, label_runs
+from segloom.plans import sequential
 from segloom.plans.registry import query
 from segloom.sources.tables import EVENTS, TIMELINE, events, table, timeline
 
@@ -20,7 +21,7 @@ def seg():
     return along("episode", "segment")
 
 
-@query("bimanual_match")
+@query("bimanual_match", sequential.BIMANUAL_MATCH)
 def bimanual_match(spark, root):
     """JOIN-15: clicks as left and views as right evidence of each stream, matched one to one by nearest frame."""
 
@@ -33,7 +34,7 @@ def bimanual_match(spark, root):
     return kernels.per_episode(events(spark, root), kernel, "episode long, frame long, relation string, arms array<string>", ["episode"], "frame", ["frame", "c", "label"])
 
 
-@query("synchronous_events")
+@query("synchronous_events", sequential.SYNCHRONOUS)
 def synchronous_events(spark, root):
     """JOIN-16: the closest pairs of one direction first, each event once."""
 
@@ -54,7 +55,7 @@ def opposing_events(spark, root):
     return left.join(right, ["episode", "right_frame"]).where("a <> b").select("episode", "left_frame", "right_frame", F.abs(F.col("left_frame") - F.col("right_frame")).alias("separation"))
 
 
-@query("phase_run_smoothing")
+@query("phase_run_smoothing", sequential.PHASE_SMOOTHING)
 def phase_run_smoothing(spark, root):
     """WIN-13: runs of levels without those under two frames."""
     level = F.when(F.col("c") < 1000, "low").when(F.col("c") < 3000, "middle").otherwise("high")
@@ -66,7 +67,7 @@ def phase_run_smoothing(spark, root):
     return kernels.per_episode(runs, kernel, "episode long, run long, phase string, start_frame long, end_frame long", ["episode"], "start_frame", ["start_frame", "end_frame", "label"])
 
 
-@query("evidence_filter")
+@query("evidence_filter", sequential.EVIDENCE_FILTER)
 def evidence_filter(spark, root):
     """WIN-16, WIN-17, AGG-25: high frames as evidence, clustered and folded to a least separation."""
     high = events(spark, root).withColumn("frames", F.count("*").over(Window.partitionBy("episode"))).where("c >= 3000")

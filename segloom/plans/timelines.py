@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from segloom.operators import kernels
 from segloom.operators.joins import aligned_audit
 from segloom.operators.windows import absorb_still, along, block_numbers, label_runs
+from segloom.plans import sequential
 from segloom.plans.registry import query
 from segloom.sources.tables import TIMELINE, table, timeline
 
@@ -113,7 +114,7 @@ def _grouped(spark, root, rule):
     return kernels.per_episode(rows, kernel, "episode long, grp long, pair string, start_frame long, end_frame long, pieces long", ["episode"], "segment", ["segment", "n", "start_frame", "end_frame", "pair"])
 
 
-@query("short_merge")
+@query("short_merge", sequential.SHORT_MERGE)
 def short_merge(spark, root):
     """SEG-06: under eight frames joins an equal neighbour, to a fixpoint."""
     return _grouped(spark, root, kernels.merge_short)
@@ -128,7 +129,7 @@ def short_merge_single_pass(spark, root):
     return _grouped(spark, root, kernels.fold_short)
 
 
-@query("optimal_coarsening")
+@query("optimal_coarsening", sequential.COARSENING)
 def optimal_coarsening(spark, root):
     """SEG-08: each run of equal pairs is a problem of its own, so runs, not episodes, are the groups."""
     turn = F.when(pair() == F.lag(pair()).over(w()), 0).otherwise(1)
@@ -141,7 +142,7 @@ def optimal_coarsening(spark, root):
     return kernels.per_episode(rows, kernel, "episode long, run long, grp long, start_frame long, end_frame long, pieces long, cost double", ["episode", "run"], "segment", ["segment", "n", "start_frame", "end_frame"])
 
 
-@query("max_length_split")
+@query("max_length_split", sequential.LENGTH_SPLIT)
 def max_length_split(spark, root):
     """SEG-10 over segment starts, with the segment length as energy of its frames."""
 
