@@ -29,11 +29,24 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def cut(df: DataFrame, name: str) -> DataFrame:
-    """Write df as a Parquet table in the shared folder and read it back: lineage ends there, and a lost executor costs a reread."""
+    """Write df as a Parquet table in the shared folder and read it back: lineage ends there, and a lost executor costs a reread.
+
+    discard() deletes the table; what is not discarded stays until the folder is emptied.
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/segloom/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.segloom_path = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that cut() made, once all that was derived from them has been written."""
+    for t in tables:
+        jvm, conf = t.sparkSession._jvm, t.sparkSession._jsc.hadoopConfiguration()
+        path = jvm.org.apache.hadoop.fs.Path(t.segloom_path)
+        path.getFileSystem(conf).delete(path, True)
 
 
 def shuffle_width(spark: SparkSession) -> int:
@@ -97,29 +110,25 @@ def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return nodes[own], nodes[label[own]]
 
 
-def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """Connected components of edges (src, dst), long: one row (node, component) for each node that has an edge.
 
-    component is the smallest node reachable. Alternating large-star and small-star steps (Kiveris et al., 2014): edges stay
-    in a distributed table, each round is cut, and only a row count and a checksum reach the driver. Nulls and loops are ignored.
+    component is the smallest node reachable. Alternating large-star and small-star steps (Kiveris et al., 2014) until nothing changes:
+    edges stay in a distributed table, each round is cut and the one before deleted, and only a row count and a checksum reach the
+    driver. Nulls and loops are ignored.
     """
     now = edges.select(F.col("src").cast("long").alias("u"), F.col("dst").cast("long").alias("v")).where("u is not null and v is not null and u <> v")
     now = now.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
-    now, last = cut(now, "edges"), None
-    nodes = None
-    for _ in range(rounds):
+    now, last, seen = cut(now, "edges"), None, ()
+    while seen != last:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         # A table of its own, so that the join with it may split the edges of a hot node.
         least = cut(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "least")
         large = cut(both.where("v > u").join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), "large")
         low = cut(large.groupBy("u").agg(F.min("v").alias("m")), "low")
         small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").unionByName(low.select("u", F.col("m").alias("v"))).distinct()
-        now = cut(small, "edges")
-        seen = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if tuple(seen) == last:
-            break
-        last = tuple(seen)
-    else:
-        raise RuntimeError(f"components did not settle in {rounds} rounds")
+        before, now = now, cut(small, "edges")
+        discard(before, least, large, low)
+        last, seen = seen, tuple(now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
     nodes = now.select(F.col("u").alias("node"), F.col("v").alias("component"))
     return nodes.unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())

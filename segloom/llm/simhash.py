@@ -12,10 +12,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from segloom.llm.common import components, cut, forest, lean, shuffle_width, text_bytes
+from segloom.llm.common import components, cut, discard, forest, lean, shuffle_width, text_bytes
 
 #: Rows of one mask and key that are compared in one task; larger groups are split in blocks of about so many.
 BLOCK = 1024
@@ -158,6 +158,9 @@ def op5(spark, sf_dir: str) -> DataFrame:
 
 
 _ODD = np.random.default_rng(5).integers(0, 2**63, 12, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+#: Rows of a class on one side of a task; fewest shingles of a set whose fingerprints may exclude it, and how many standard deviations
+#: above what sets just similar enough differ by on average fingerprints may be.
+SIDE, SMALL, DEVIATIONS = 4096, 12, 6.0
 #: Documents that hot shingles are looked for in, how many of them have a hot one, and hot ones at most; they only order the shingles.
 HOT_DOCS, HOT_LEAST, HOT_MOST = 50_000, 3, 100_000
 
@@ -206,63 +209,122 @@ def hot_shingles(docs: DataFrame, width: int) -> np.ndarray:
     return np.sort(top.view(np.uint64))
 
 
-def near_enough(n: Column, i: Column, m: Column, j: Column, least: float) -> Column:
-    """Whether sets of n and m whose first common shingles are the i-th and j-th may have a Jaccard similarity of `least`."""
-    return F.least(n - i, m - j) >= least / (1 + least) * (n + m) - 1e-6
+def differing(least: float, bits: int = 128) -> int:
+    """Bits that fingerprints of two sets with a Jaccard similarity of `least` or more differ in at most, but for a chance below 1e-7.
 
+    The cosine of such sets is 2 least / (1 + least) or more, and a bit differs with the share of their angle in a half turn.
+    """
+    p = float(np.arccos(2 * least / (1 + least)) / np.pi)
+    return int(bits * p + DEVIATIONS * np.sqrt(bits * p * (1 - p)))
+
+
+def _groups(t: pa.Table) -> list[tuple[int, int]]:
+    group = t.column("group").to_numpy()
+    cuts = np.nonzero(np.concatenate([[True], group[1:] != group[:-1], [True]]))[0]
+    return list(zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True))
+
+
+def _whole_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Tables of whole groups from batches that are sorted by `group`."""
+    rest = None
+    for b in batches:
+        if not b.num_rows:
+            continue
+        t = pa.Table.from_batches([b]) if rest is None else pa.concat_tables([rest, pa.Table.from_batches([b])]).combine_chunks()
+        group = t.column("group").to_numpy()
+        whole = int(np.searchsorted(group, group[-1], "left"))  # the last group may go on
+        rest = t.slice(whole)
+        if whole:
+            yield t.slice(0, whole)
+    if rest is not None and rest.num_rows:
+        yield rest
 
-def open_pairs(keyed: DataFrame, least: float) -> DataFrame:
-    """(src, dst), src > dst: the nodes of each key, in pairs that no links connect yet and whose sizes and places let them be similar.
 
-    keyed: key, node and part (its component so far), long; size and at, int. Every pair of a key is looked at; a key of more than
-    BLOCK nodes in pairs of blocks, each of which is a task's work of its own.
+class _Rows:
+    """Columns of classed rows as arrays, and which pairs of them may be similar and are not connected yet."""
+
+    def __init__(self, t: pa.Table, least: float):
+        self.node, self.part, self.own, self.lo, self.hi, size, a, b = (t.column(c).to_numpy() for c in ("node", "part", "own", "lo", "hi", "size", "fp", "fp2"))
+        self.size, self.fp, self.fp2 = size.astype(np.int64), a.view(np.uint64), b.view(np.uint64)
+        self.least, self.most = least, differing(least)
+
+    def open(self, i, j, part: np.ndarray) -> np.ndarray:
+        """Whether rows i and j, of one group, are of different components, stand on the sides that the group compares, and are alike
+        enough in size and fingerprints."""
+        small, large = np.minimum(self.size[i], self.size[j]), np.maximum(self.size[i], self.size[j])
+        good = (part[i] != part[j]) & ((self.lo[i] == self.hi[i]) | (self.own[i] != self.own[j])) & (small >= self.least * large - 1e-9)
+        far = np.bitwise_count(self.fp[i] ^ self.fp[j]).astype(np.int64) + np.bitwise_count(self.fp2[i] ^ self.fp2[j])
+        return good & ((small < SMALL) | (far <= self.most))
+
+
+def active(rows: DataFrame, least: float) -> DataFrame:
+    """rows of classed() that could be similar to some row of their group which no link connects them to; pairs are not returned."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in _whole_groups(batches):
+            x = _Rows(t, least)
+            stop = np.concatenate([np.full(z - a, z) for a, z in _groups(t)])
+            keep, at, step = np.zeros(t.num_rows, bool), np.arange(t.num_rows), 1
+            while True:
+                at = at[at + step < stop[at]]
+                if not len(at):
+                    break
+                found = at[x.open(at, at + step, x.part)]
+                keep[found] = keep[found + step] = True
+                step += 1
+            yield from t.filter(pa.array(keep)).combine_chunks().to_batches()
+
+    return rows.mapInArrow(run, rows.schema)
+
+
+def similar_pairs(rows: DataFrame, least: float) -> DataFrame:
+    """(src, dst): a forest of the links between rows of a group: sets with a Jaccard similarity of `least` or more.
+
+    rows: those of classed(), sorted by group, with shingles (binary, sorted 32-bit hashes). A row is compared with all later ones of
+    its group that may be similar and that links found so far don't connect it to.
     """
-    many = keyed.groupBy("key").agg(F.count("*").alias("n"), F.min("part").alias("a"), F.max("part").alias("z")).where("a <> z")
-    split = keyed.join(many.select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "key")
-    split = split.withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    group = F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other")).alias("group")
-    ready = split.select(group, "node", "part", "size", "at").repartition(shuffle_width(keyed.sparkSession), "group").sortWithinPartitions("group")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest = [np.zeros(0, np.int64)] * 5
-        for b in batches:
-            if not b.num_rows:
-                continue
-            now = [np.concatenate([r, c.to_numpy(zero_copy_only=False)]) for r, c in zip(rest, b.columns, strict=True)]
-            whole = int(np.searchsorted(now[0], now[0][-1], "left"))  # the last group may go on
-            rest = [x[whole:] for x in now]
-            if whole:
-                yield from pairs([x[:whole] for x in now])
-        if len(rest[0]):
-            yield from pairs(rest)
-
-    def pairs(part: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        group, node, comp, size, at = part
-        cuts = np.nonzero(np.concatenate([[True], group[1:] != group[:-1], [True]]))[0]
-        stop = np.repeat(cuts[1:], np.diff(cuts))
-        rows, step, held, found = np.arange(len(node)), 1, 0, []
-        while True:
-            rows = rows[rows + step < stop[rows]]
-            if not len(rows):
-                break
-            far = rows + step
-            room = np.minimum(size[rows] - at[rows], size[far] - at[far])
-            near = (comp[rows] != comp[far]) & (room >= least / (1 + least) * (size[rows] + size[far]) - 1e-6)
-            a, b = node[rows[near]], node[far[near]]
-            found.append(np.stack([np.maximum(a, b), np.minimum(a, b)], 1))
-            held += len(a)
-            step += 1
-            if held > 500_000:
-                yield batch(found)
-                found, held = [], 0
-        if held:
-            yield batch(found)
-
-    def batch(found: list[np.ndarray]) -> pa.RecordBatch:
-        pair = np.unique(np.concatenate(found), axis=0)
-        return pa.RecordBatch.from_arrays([pa.array(pair[:, 0]), pa.array(pair[:, 1])], names=["src", "dst"])
-
-    return ready.mapInArrow(run, "src long, dst long").distinct()
+        for t in _whole_groups(batches):
+            x, out = _Rows(t, least), []
+            sets = [np.frombuffer(s.as_buffer(), np.uint32) for s in t.column("shingles")]
+            part = x.part.copy()
+            for a, z in _groups(t):
+                every, back = np.unique(np.concatenate(sets[a:z]), return_inverse=True)
+                edge = np.concatenate([[0], np.cumsum([len(s) for s in sets[a:z]])])
+                mark = np.zeros(len(every), np.int32)
+                for i in range(a, z - 1):
+                    rest = np.arange(i + 1, z)
+                    rest = rest[x.open(i, rest, part)]
+                    if not len(rest):
+                        continue
+                    own = back[edge[i - a] : edge[i - a + 1]]
+                    mark[own] = 1
+                    size = edge[rest - a + 1] - edge[rest - a]
+                    at = np.repeat(edge[rest - a] - (np.cumsum(size) - size), size) + np.arange(size.sum())
+                    both = np.add.reduceat(mark[back[at]], np.cumsum(size) - size)
+                    mark[own] = 0
+                    for j in rest[both >= least * (len(own) + size - both) - 1e-9].tolist():
+                        if part[j] != part[i]:
+                            out.append((x.node[i], x.node[j]))
+                            part[a:z][part[a:z] == part[j]] = part[i]
+            if out:
+                src, dst = np.array(out, np.int64).T
+                yield pa.RecordBatch.from_arrays([pa.array(src), pa.array(dst)], names=["src", "dst"])
+
+    return rows.mapInArrow(run, "src long, dst long")
+
+
+def classed(members: DataFrame) -> DataFrame:
+    """Rows of classes dealt to groups, sorted by group: members (class, node and others) with group, own, lo and hi.
+
+    A class of more than SIDE rows is split in sides, and each pair of sides is a group of its own.
+    """
+    many = members.groupBy("class").agg(F.count("*").alias("n"), F.min("part").alias("a"), F.max("part").alias("z")).where("a <> z")
+    split = members.join(many.select("class", F.ceil(F.col("n") / SIDE).cast("int").alias("sides")), "class")
+    split = split.withColumn("own", F.pmod(F.xxhash64("node"), F.col("sides")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("sides") - 1)))
+    split = split.withColumns({"lo": F.least("own", "other"), "hi": F.greatest("own", "other")}).withColumn("group", F.xxhash64("class", "lo", "hi"))
+    return split.drop("class", "sides", "other").repartition(shuffle_width(members.sparkSession), "group").sortWithinPartitions("group", "node")
 
 
 def similar_documents(docs: DataFrame, width: int = 5, least: float = 0.8) -> DataFrame:
@@ -270,9 +332,10 @@ def similar_documents(docs: DataFrame, width: int = 5, least: float = 0.8) -> Da
 
     Candidates come from covering SimHash: links() of the fingerprints of the shingle sets, and are verified on all shingles. As
     fingerprints of sets at 0.8 differ in ten bits of 64 on average, and masks for that radius would be too many, a prefix filter
-    completes them: similar sets have one of the first shingles of both in common, in an order that puts rare ones first
-    (prefix_of). Each node is compared with the smallest of each such key, and then with all others of its keys that no link
-    connects it to yet: these alone can change a component, so no pair escapes.
+    completes them: similar sets have one of the first shingles of both in common, in an order that puts rare ones first (prefix_of).
+    Nodes that share such a key are a class, named by the smallest node of the key. In each class nodes that no link connects yet are
+    compared if sizes and 128 bits of fingerprints allow a similarity of `least`, which a similar pair fails with a chance below 1e-7.
+    Classes are compared inside tasks, in pairs of sides; a task returns a forest of links and never the pairs.
 
     Texts of the same words in the same order are one node and never paired. component_id is the smallest doc_id reachable. Null
     texts are empty; rows with a null doc_id are not compared; rows of one doc_id are compared each by its own text.
@@ -292,9 +355,10 @@ def similar_documents(docs: DataFrame, width: int = 5, least: float = 0.8) -> Da
                 digest.append(xxhash.xxh3_128_digest(b" ".join(words)))
                 size.append(len(own))
                 prefix.append(prefix_of(own, hot, least).tobytes())
-                prints.append(fingerprint_of(own, np.array([0, len(own)])))
-            fp = pa.array(np.concatenate(prints).view(np.int64))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(digest, pa.binary()), pa.array(size, pa.int32()), pa.array(prefix, pa.binary()), fp], names=["doc_id", "digest", "size", "prefix", "fp"])
+                other = (own ^ (own >> np.uint64(32))) * _ODD[-1]
+                prints.append(fingerprint_of(np.concatenate([own, other ^ (other >> np.uint64(29))]), np.array([0, len(own), 2 * len(own)])))
+            fp = np.stack(prints).view(np.int64)
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(digest, pa.binary()), pa.array(size, pa.int32()), pa.array(prefix, pa.binary()), pa.array(fp[:, 0]), pa.array(fp[:, 1])], names=["doc_id", "digest", "size", "prefix", "fp", "fp2"])
 
     def keys_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         data, at = text_bytes(column)
@@ -304,11 +368,11 @@ def similar_documents(docs: DataFrame, width: int = 5, least: float = 0.8) -> Da
         low = np.int64(2**BITS - 1)
         for b in lean(batches):
             out = []
-            for node, size, prefix, keys in zip(*(b.column(i).to_pylist() for i in range(4)), strict=True):
+            for node, prefix, keys in zip(*(b.column(i).to_pylist() for i in range(3)), strict=True):
                 key = np.frombuffer(prefix, np.int64)
-                at = np.nonzero(np.isin(key & low, np.concatenate([unplanes(k, BITS // 8) for k in keys])))[0]
-                out.append((key[at], np.full(len(at), node), np.full(len(at), size, np.int32), at.astype(np.int32)))
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out, strict=True)], names=["key", "node", "size", "at"])
+                key = key[np.isin(key & low, np.concatenate([unplanes(k, BITS // 8) for k in keys]))]
+                out.append((key, np.full(len(key), node)))
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out, strict=True)], names=["key", "node"])
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in lean(batches):
@@ -320,30 +384,38 @@ def similar_documents(docs: DataFrame, width: int = 5, least: float = 0.8) -> Da
             for x, y in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True):
                 x, y = np.frombuffer(x, np.uint32), np.frombuffer(y, np.uint32)
                 both = len(np.intersect1d(x, y, assume_unique=True))
-                good.append(both >= least * (len(x) + len(y) - both))
+                good.append(both >= least * (len(x) + len(y) - both) - 1e-9)
             keep = pa.array(good, pa.bool_())
             yield pa.RecordBatch.from_arrays([b.column(0).filter(keep), b.column(1).filter(keep)], names=["src", "dst"])
 
-    def verified(pairs: DataFrame) -> DataFrame:
-        ends = pairs.select(F.col("src").alias("doc_id")).unionByName(pairs.select(F.col("dst").alias("doc_id"))).distinct()
-        shingles = cut(docs.join(ends, "doc_id", "left_semi").mapInArrow(sets, "node long, shingles binary").dropDuplicates(["node"]), "shingles")
-        left, right = (shingles.select(F.col("node").alias(c), F.col("shingles").alias(f"s_{c}")) for c in ("src", "dst"))
-        return cut(pairs.join(left, "src").join(right, "dst").select("src", "dst", "s_src", "s_dst").mapInArrow(verify, "src long, dst long"), "links")
+    def sets_of(nodes: DataFrame) -> DataFrame:
+        return docs.join(nodes.select(F.col("node").alias("doc_id")).distinct(), "doc_id", "left_semi").mapInArrow(sets, "node long, shingles binary").dropDuplicates(["node"])
 
-    table = cut(docs.mapInArrow(prefixes, "doc_id long, digest binary, size int, prefix binary, fp long"), "prefixes")
-    nodes = cut(table.groupBy("digest").agg(F.min("doc_id").alias("node"), F.min("size").alias("size"), F.min("prefix").alias("prefix"), F.min("fp").alias("fp")).select("node", "size", "prefix", "fp"), "nodes")
+    table = cut(docs.mapInArrow(prefixes, "doc_id long, digest binary, size int, prefix binary, fp long, fp2 long"), "prefixes")
+    nodes = cut(table.groupBy("digest").agg(F.min("doc_id").alias("node"), *[F.min(c).alias(c) for c in ("size", "prefix", "fp", "fp2")]).drop("digest"), "nodes")
+    # Covering SimHash: fingerprints within the radius, one of each; and texts of one fingerprint with the first of them.
     prints = cut(nodes.groupBy("fp").agg(F.min("node").alias("node")), "prints")
     twins = nodes.join(prints.withColumnRenamed("node", "first"), "fp").where("node > first").select(F.col("node").alias("src"), F.col("first").alias("dst"))
-    sketched = links(prints).select(F.greatest("src", "dst").alias("src"), F.least("src", "dst").alias("dst")).unionByName(twins)
-    flags = shared_keys(nodes.select(F.col("node").alias("doc_id"), F.col("prefix").alias("text")), keys_of, buckets).groupBy("doc_id").agg(F.collect_list("keys").alias("keys"))
-    keyed = nodes.join(flags.withColumnRenamed("doc_id", "node"), "node").select("node", "size", "prefix", "keys")
-    keyed = cut(keyed.mapInArrow(rows, "key long, node long, size int, at int"), "keyed")
-    heads = keyed.groupBy("key").agg(F.min(F.struct("node", "size", "at")).alias("head"))
-    stars = keyed.join(heads, "key").where(F.col("node") > F.col("head.node")).where(near_enough(F.col("size"), F.col("at"), F.col("head.size"), F.col("head.at"), least))
-    found = verified(cut(sketched.unionByName(stars.select(F.col("node").alias("src"), F.col("head.node").alias("dst"))).distinct(), "pairs"))
+    pairs = cut(links(prints).unionByName(twins), "pairs")
+    ends = pairs.select(F.col("src").alias("node")).unionByName(pairs.select(F.col("dst").alias("node")))
+    shingles = cut(sets_of(ends), "shingles")
+    left, right = (shingles.select(F.col("node").alias(c), F.col("shingles").alias(f"s_{c}")) for c in ("src", "dst"))
+    found = cut(pairs.join(left, "src").join(right, "dst").select("src", "dst", "s_src", "s_dst").mapInArrow(verify, "src long, dst long"), "links")
+    discard(prints, pairs, shingles)
     first = cut(components(found), "components")
-    parts = keyed.join(first, "node", "left").select("key", "node", F.coalesce("component", "node").alias("part"), "size", "at")
-    more = verified(cut(open_pairs(cut(parts, "parts"), least), "pairs"))
+    # The prefix filter: classes of nodes that share a key.
+    flags = shared_keys(nodes.select(F.col("node").alias("doc_id"), F.col("prefix").alias("text")), keys_of, buckets).groupBy("doc_id").agg(F.collect_list("keys").alias("keys"))
+    keyed = nodes.join(flags.withColumnRenamed("doc_id", "node"), "node").select("node", "prefix", "keys")
+    keyed = cut(keyed.mapInArrow(rows, "key long, node long"), "keyed")
+    members = keyed.join(keyed.groupBy("key").agg(F.min("node").alias("class")), "key").select("class", "node").distinct()
+    members = members.join(nodes.drop("prefix"), "node").join(first, "node", "left").withColumn("part", F.coalesce("component", "node")).drop("component")
+    members = cut(members, "members")
+    some = cut(active(classed(members), least), "active")
+    discard(keyed, members)
+    ready = some.join(sets_of(some), "node").repartition(shuffle_width(docs.sparkSession), "group").sortWithinPartitions("group", "node")
+    more = cut(similar_pairs(ready, least), "links")
     joined = components(first.select(F.col("node").alias("src"), F.col("component").alias("dst")).unionByName(more))
     named = table.groupBy("digest").agg(F.min("doc_id").alias("node")).join(joined, "node", "left").select("digest", F.coalesce("component", "node").alias("component_id"))
-    return table.select("doc_id", "digest").join(named, "digest").select("doc_id", "component_id")
+    out = cut(table.select("doc_id", "digest").join(named, "digest").select("doc_id", "component_id"), "similar")
+    discard(table, nodes, found, first, some, more)
+    return out

@@ -356,9 +356,7 @@ def test_similar_documents(spark, rows):
     links = [(a, b) for a in sets for b in sets if a < b and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
     want = components(sets, links)
     got = {r.doc_id: r.component_id for r in simhash.similar_documents(frame(spark, rows)).collect()}
-    assert set(got) == set(want)
-    assert all(got[i] >= want[i] for i in want)  # no false link
-    assert sum(got[i] == want[i] for i in want) >= len(want) - 2
+    assert got == want
     assert simhash.similar_documents(empty(spark)).count() == 0
 
 
@@ -380,7 +378,7 @@ def test_similar_documents_with_new_words(spark):
 
 
 def test_similar_documents_are_not_hidden_by_a_smaller_one(spark, monkeypatch):
-    monkeypatch.setattr(simhash, "BLOCK", 8)
+    monkeypatch.setattr(simhash, "SIDE", 5)
     rng = random.Random(13)
     rows = []
     for k in range(12):  # all versions of a text meet under the keys of the first, which is too far from most of them
