@@ -35,3 +35,10 @@ def ngrams(words: Column, n: int = 4) -> Column:
     for i in range(1, n):  # shifted copies side by side; `words` itself stays out of the lambdas, which would evaluate it for each gram
         many = F.zip_with(many, F.slice(words, i + 1, count), lambda a, b: F.concat_ws(" ", a, b))
     return F.when(F.size(words) >= n, F.array_distinct(many)).when(F.size(words) > 0, F.array(F.array_join(words, " "))).otherwise(F.array().cast("array<string>"))
+
+
+def json_keys(text: Column) -> Column:
+    """Keys at every depth of a JSON text, repeats included: the strings that a colon follows. Strings are read whole, so one that is a
+    value hides what looks like a key in it."""
+    strings = F.regexp_extract_all(text, F.lit(r'("(?:[^"\\]|\\.)*"\s*:?)'), F.lit(1))
+    return F.transform(F.filter(strings, lambda s: s.endswith(":")), lambda k: F.regexp_extract(k, r'(?s)^"(.*)"\s*:$', 1))
