@@ -113,5 +113,6 @@ def json_object(text: Column) -> Column:
     """The JSON object of a reply: without code fences, or the first balanced one that ends the text; null if there is none."""
     bare = F.regexp_replace(F.regexp_replace(F.trim(text), r"(?i)^```(?:json)?\s*", ""), r"\s*```$", "")
     starts = F.filter(F.sequence(F.lit(1), F.greatest(F.length(bare), F.lit(1))), lambda i: F.substring(bare, i, F.lit(1)) == "{")
-    tails = F.filter(F.transform(starts, lambda i: F.substring(bare, i, F.length(bare))), lambda t: F.try_parse_json(t).isNotNull())
-    return F.get(tails, F.lit(0))
+    tails = F.transform(starts, lambda i: F.substring(bare, i, F.length(bare)))
+    listed = lambda t: F.try_parse_json(F.concat(F.lit("["), t, F.lit("]")))  # noqa: E731  # the parser ignores what follows a value, but not in a list
+    return F.get(F.filter(tails, lambda t: listed(t).isNotNull() & F.variant_get(listed(t), "$[1]", "string").isNull()), F.lit(0))

@@ -36,7 +36,7 @@ FORBIDDEN = (
 )
 HEADINGS = ("Evidence:", "Analysis:", "Reasoning:", "Style:")
 WORDS = {"normal": (55, 150), "recovery": (55, 230), "style": (70, 190)}
-WORD = r"\b[\w'-]+\b"
+WORD = r"[\p{L}\p{N}_'-]*[\p{L}\p{N}_][\p{L}\p{N}_'-]*"
 
 # Phrases that name an action, words of intention before them, and words that take an intention back.
 TERMS = {
@@ -71,7 +71,7 @@ def body_problems(text: Column, kind: str = "normal") -> Column:
     """Names of the rules that a reasoning text breaks: words, heading, and forbidden_<place of the pattern>; null text breaks words."""
     low, high = WORDS[kind]
     body = F.trim(F.coalesce(text, F.lit("")))
-    words = F.regexp_count(body, F.lit(f"(?U){WORD}"))
+    words = F.regexp_count(body, F.lit(WORD))
     heading = F.exists(F.array(*[F.lit(h) for h in HEADINGS]), lambda h: F.startswith(body, h))
     found = [F.when(~words.between(low, high), "words"), F.when(heading, "heading"), *[F.when(body.rlike(f"(?i){p}"), f"forbidden_{i}") for i, p in enumerate(FORBIDDEN)]]
     return F.filter(F.array(*found), lambda c: c.isNotNull())

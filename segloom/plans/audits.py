@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from segloom.functions.text import tokens
 from segloom.operators import kernels
-from segloom.operators.gates import action_contradictions, citations_ok
+from segloom.operators.gates import citations_ok
 from segloom.operators.windows import along, label_runs
 from segloom.plans import sequential
 from segloom.plans.registry import query
@@ -207,14 +207,6 @@ def sentence_trim(spark, root):
     return c.groupBy("doc_id").agg(F.count_if(F.col("total") <= 50).alias("sentences"), F.coalesce(F.max(F.when(F.col("total") <= 50, F.col("total"))), F.lit(0)).cast("long").alias("words"))
 
 
-@query("action_contradictions")
-def action_contradictions_(spark, root):
-    """FLT-16: plain intentions in a text that the labels contradict."""
-    rows = table(spark, root, "orders").select("o_orderkey", F.when(F.col("o_orderkey") % 2 == 0, "The left arm will open the gripper. The right arm should not lift.").otherwise("If it slips, the left arm will close the gripper.").alias("text"), F.when(F.col("o_orderstatus") == "F", "close_gripper").otherwise("move").alias("l"))
-    found = rows.select(F.explode(action_contradictions(F.col("text"), F.col("l"), F.lit("still"))).alias("issue"))
-    return found.groupBy("issue").agg(F.count("*").alias("n"))
-
-
 @query("citation_validity", r"SELECT c.conv_id, c.turn, len(list_filter(regexp_extract_all(lower(text), '[a-z]+')[1:5], lambda w: NOT list_contains(['the', 'and', 'of', 'de', 'la', 'der', 'die', 'el', 'que'], w))) = 0 AND contains(text, substr(text, 3, 10)) AS valid FROM conversations c")
 def citation_validity(spark, root):
     """FLT-18: ids that are allowed and a quote that stands in the body."""

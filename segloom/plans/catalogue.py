@@ -1,6 +1,6 @@
 """All named queries of the library."""
 
-from segloom.plans import audits, ingest, rewrites, states, streams, texts, timelines
+from segloom.plans import acceptance, audits, ingest, rewrites, states, streams, texts, timelines
 from segloom.plans.registry import ORACLES, QUERIES
 
-__all__ = ["ORACLES", "QUERIES", "audits", "ingest", "rewrites", "states", "streams", "texts", "timelines"]
+__all__ = ["ORACLES", "QUERIES", "acceptance", "audits", "ingest", "rewrites", "states", "streams", "texts", "timelines"]

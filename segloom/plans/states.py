@@ -11,6 +11,7 @@ from segloom.operators import kernels
 from segloom.operators.segmentation import propose, segment_episode
 from segloom.operators.windows import along, moving_sum, sign_continuity
 from segloom.plans.registry import query
+from segloom.plans.sequential import segment_sql
 from segloom.sources.tables import VECTORS, vectors
 
 VX = f"WITH {VECTORS}"
@@ -197,7 +198,7 @@ def _episode(x):
     return np.array(x, float) / 1e6
 
 
-@query("segment_episode_16d")
+@query("segment_episode_16d", segment_sql(VECTORS))
 def segment_episode_16d(spark, root):
     """SEG-04, with SEG-02, SEG-03, SEG-05, WIN-13, WIN-15, WIN-17, JOIN-15 and ROW-17 inside: one kernel call an episode."""
 

@@ -1,5 +1,6 @@
 """Record files, commits and incremental forms."""
 
+import io
 import struct
 
 import pytest
@@ -15,6 +16,9 @@ def test_jsonl(spark, tmp_path):
     assert sorted(r.a for r in rows) == [1, 2]
     with pytest.raises(Exception):
         files.read_jsonl(spark, str(tmp_path / "a.jsonl"), "a long").collect()
+    (tmp_path / "b.jsonl").write_text('{"a":\n{"a":2}\n')
+    with pytest.raises(ValueError):
+        files.read_jsonl(spark, str(tmp_path / "b.jsonl"), "a long", tolerate_last=True)
 
 
 def test_keyed(spark, tmp_path):
@@ -48,12 +52,16 @@ def test_tfrecord(spark, tmp_path):
     (tmp_path / "s.tfrecord").write_bytes(record(example) * 2)
     rows = files.read_tfrecord_census(spark, str(tmp_path)).collect()
     assert sorted((r.record, r.feature, r.n) for r in rows) == [(0, "f", 3), (0, "i", 2), (1, "f", 3), (1, "i", 2)]
+    whole = {r.record: r for r in files.read_tfrecords(spark, str(tmp_path)).collect()}
+    assert (whole[1].floats, whole[1].ints, whole[1].texts) == ({"f": [1.0, 2.0, 3.0]}, {"i": [1, 128]}, {})
+    with (tmp_path / "s.tfrecord").open("rb") as f:
+        assert list(files.record_sizes(f)) == [(0, len(example)), (len(example) + 16, len(example))]
     bad = bytearray(record(example))
     bad[20] ^= 1
     with pytest.raises(ValueError, match="checksum"):
-        list(files.frames(bytes(bad)))
+        list(files.frames(io.BytesIO(bytes(bad))))
     with pytest.raises(ValueError, match="truncated"):
-        list(files.frames(record(example)[:-1]))
+        list(files.frames(io.BytesIO(record(example)[:-1])))
     assert files.masked_crc32c(b"123456789") == ((0xE3069283 >> 15 | 0xE3069283 << 17) + 0xA282EAD8) & 0xFFFFFFFF
 
 
