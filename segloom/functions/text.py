@@ -37,6 +37,16 @@ def ngrams(words: Column, n: int = 4) -> Column:
     return F.when(F.size(words) >= n, F.array_distinct(many)).when(F.size(words) > 0, F.array(F.array_join(words, " "))).otherwise(F.array().cast("array<string>"))
 
 
+def gram_hashes(words: Column, n: int = 4) -> Column:
+    """Distinct 64-bit hashes that stand for the grams of ngrams()."""
+    count = F.greatest(F.size(words) - n + 1, F.lit(0))
+    hashes = F.transform(words, lambda w: F.xxhash64(w))
+    many = F.slice(hashes, 1, count)
+    for i in range(1, n):
+        many = F.zip_with(many, F.slice(hashes, i + 1, count), lambda a, b: F.xxhash64(a, b))
+    return F.when(F.size(words) >= n, F.array_distinct(many)).when(F.size(words) > 0, F.array(F.xxhash64(F.array_join(words, " ")))).otherwise(F.array().cast("array<bigint>"))
+
+
 def json_keys(text: Column) -> Column:
     """Keys at every depth of a JSON text, repeats included: the strings that a colon follows. Strings are read whole, so one that is a
     value hides what looks like a key in it."""

@@ -6,6 +6,7 @@ Relational steps come first and cut the input to segments or evidence, so that a
 from __future__ import annotations
 
 import math
+from bisect import bisect_left, bisect_right
 from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
@@ -221,11 +222,20 @@ def pair_arms(left: Sequence[dict], right: Sequence[dict], sync: int, near: int)
 
 
 def greedy_pairs(left: Sequence[tuple], right: Sequence[tuple], sync: int) -> list[tuple[int, int, int]]:
-    """(distance, i, j): one-to-one matches of (frame, direction) items of one direction, the closest first, at most `sync` apart."""
+    """(distance, i, j): one-to-one matches of (frame, direction) items of one direction, the closest first, at most `sync` apart.
+
+    Items are in the order of their frames; only those near each other are listed.
+    """
+    frames = [b[0] for b in right]
+    near = [
+        (abs(right[j][0] - a[0]), i, j)
+        for i, a in enumerate(left)
+        for j in range(bisect_left(frames, a[0] - sync), bisect_right(frames, a[0] + sync))
+        if a[1] == right[j][1]
+    ]
     found, used_left, used_right = [], set(), set()
-    every = sorted((abs(b[0] - a[0]), i, j) for i, a in enumerate(left) for j, b in enumerate(right) if a[1] == b[1])
-    for gap, i, j in every:
-        if gap <= sync and i not in used_left and j not in used_right:
+    for gap, i, j in sorted(near):
+        if i not in used_left and j not in used_right:
             used_left.add(i)
             used_right.add(j)
             found.append((gap, i, j))

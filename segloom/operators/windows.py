@@ -18,13 +18,14 @@ def upto(w: WindowSpec) -> WindowSpec:
     return w.rowsBetween(Window.unboundedPreceding, 0)
 
 
-def label_runs(df: DataFrame, label: str | Column, key: str = "episode", frame: str = "frame") -> DataFrame:
-    """Run-length encoding: one row (key, run, label, start_frame, end_frame, n) for each maximal run of equal labels; null is a label."""
+def label_runs(df: DataFrame, label: str | Column, key: str = "episode", frame: str = "frame", *extra: Column) -> DataFrame:
+    """Run-length encoding: one row (key, run, label, start_frame, end_frame, n, and extra aggregates) for each maximal run of equal labels;
+    null is a label."""
     w = along(key, frame)
     value = F.col(label) if isinstance(label, str) else label
     turn = F.when(F.row_number().over(w) == 1, 0).when(value.eqNullSafe(F.lag(value).over(w)), 0).otherwise(1)
-    rows = df.select(key, F.col(frame).alias("_f"), value.alias("label"), turn.alias("_turn")).withColumn("run", F.sum("_turn").over(upto(along(key, "_f"))))
-    return rows.groupBy(key, "run").agg(F.first("label").alias("label"), F.min("_f").alias("start_frame"), F.max("_f").alias("end_frame"), F.count("*").alias("n"))
+    rows = df.withColumns({"_f": F.col(frame), "_label": value, "_turn": turn}).withColumn("run", F.sum("_turn").over(upto(along(key, "_f"))))
+    return rows.groupBy(key, "run").agg(F.first("_label").alias("label"), F.min("_f").alias("start_frame"), F.max("_f").alias("end_frame"), *extra, F.count("*").alias("n"))
 
 
 def islands(df: DataFrame, mask: Column, key: str | list[str] = "episode", frame: str = "frame", *extra: Column) -> DataFrame:
@@ -84,16 +85,16 @@ def sign_continuity(dot: Column, key: str = "episode", frame: str = "frame") ->
 
 
 def block_numbers(df: DataFrame, key: str, order: list[str], buckets: int = 256) -> DataFrame:
-    """df with `block`: contiguous numbers over all episodes in the order of key, then `order`.
+    """df with `block`: contiguous numbers over all episodes in the order of the numeric key, then `order`.
 
-    Rows are counted for each episode, and the counts are summed over ranges of episodes, so no task sees all rows: keys are
-    grouped in `buckets` ranges by a running count over the counts alone.
+    Rows are counted for each episode, and the counts are summed over `buckets` ranges of about as many episodes each, so no task sees
+    all rows, whatever the keys look like. Their bounds come from a quantile sketch of the keys, which runs while the plan is made: a
+    plan that found them anew in each use could number rows twice.
     """
     counts = df.groupBy(key).agg(F.count("*").alias("_n"))
-    low, high = (counts.agg(F.min(key), F.max(key)).first() or (None, None))
-    low, high = low or 0, high or 0
-    span = max(1, -(-(high - low + 1) // buckets))
-    counts = counts.withColumn("_range", F.floor((F.col(key) - low) / span))
+    bounds = sorted(set(df.select(key).approxQuantile(key, [i / buckets for i in range(1, buckets)], 0.25 / buckets)))
+    edges = F.array(*[F.lit(b) for b in bounds]) if bounds else F.array().cast("array<double>")
+    counts = counts.withColumn("_range", F.size(F.filter(edges, lambda e: e <= F.col(key).cast("double"))))
     before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     ranges = counts.groupBy("_range").agg(F.sum("_n").alias("_sum")).withColumn("_base", F.coalesce(F.sum("_sum").over(before), F.lit(0))).drop("_sum")
     inside = Window.partitionBy("_range").orderBy(key).rowsBetween(Window.unboundedPreceding, -1)
@@ -101,6 +102,13 @@ def block_numbers(df: DataFrame, key: str, order: list[str], buckets: int = 256)
     return df.join(starts, key).withColumn("block", F.col("_start") + F.row_number().over(along(key, *order)) - 1).drop("_start")
 
 
+def first_of(found: DataFrame, key: str, order: str, n: int = 5) -> DataFrame:
+    """(key, docs, examples): how many rows each key has, and its first n by `order`. The rank is filtered at once, so each task keeps n
+    rows of a key, and a key of all rows is counted before the exchange."""
+    few = found.withColumn("_k", F.row_number().over(Window.partitionBy(key).orderBy(order))).where(F.col("_k") <= n)
+    return found.groupBy(key).agg(F.count("*").alias("docs")).join(few.groupBy(key).agg(F.sort_array(F.collect_list(order)).alias("examples")), key)
+
+
 def absorb_still(df: DataFrame, still: Column, least: int, key: str = "episode", order: str = "segment", n: str = "n") -> DataFrame:
     """df with `group`, `is_still` and `role`: still segments joined to the motion they belong to.
 

@@ -8,14 +8,15 @@ from pyspark.sql import functions as F
 
 from segloom.functions import language
 from segloom.functions.arrays import dot, minus, norm, parts, quaternion_angle
-from segloom.functions.text import token_count, tokens
-from segloom.operators import gates, kernels, profiles, rewrites
+from segloom.functions.text import tokens
+from segloom.operators import gates, kernels, profiles
 from segloom.operators.joins import asof
 from segloom.operators.segmentation import Limits
-from segloom.operators.windows import along, label_runs
+from segloom.operators.windows import along, first_of
 from segloom.plans.registry import query
-from segloom.plans.rewrites import COT_LABELS, STEPS, _exported, cot, steps, task_sql
+from segloom.plans.rewrites import COT_LABELS, STEPS, cot, steps, task_sql
 from segloom.plans.states import LAGGED, QUAT, XYZ, _dot, _norm, lagged
+from segloom.plans.texts import documents
 from segloom.sources.tables import EVENTS, TIMELINE, VECTORS, events, table, timeline, vectors
 
 TL, EV, VX = f"WITH {TIMELINE}", f"WITH {EVENTS}", f"WITH {VECTORS}"
@@ -23,12 +24,6 @@ TL, EV, VX = f"WITH {TIMELINE}", f"WITH {EVENTS}", f"WITH {VECTORS}"
 # Text gates
 
 
-def first_of(found, key: str, order: str, n: int = 5):
-    """(key, docs, examples): how many rows each key has, and its first n by `order`, which each task keeps few of."""
-    few = found.withColumn("_k", F.row_number().over(Window.partitionBy(key).orderBy(order))).where(F.col("_k") <= n)
-    return found.groupBy(key).agg(F.count("*").alias("docs")).join(few.groupBy(key).agg(F.sort_array(F.collect_list(order)).alias("examples")), key)
-
-
 WORD_SQL = r"len(regexp_extract_all(text, '[\p{L}\p{N}_''-]*[\p{L}\p{N}_][\p{L}\p{N}_''-]*'))"
 CLAIMS = ("", "The future frame shows it.", "By ground truth it holds.", "Evidence_ids were kept.", "Therefore, left:move, right:still.", "It is the sole active manipulator.", "The task constraints bind.")
 _CLAIM_SQL = "[" + ", ".join(f"'{c}'" for c in CLAIMS) + "][1 + doc_id % 7]"
@@ -39,7 +34,7 @@ _CLAIM_SQL = "[" + ", ".join(f"'{c}'" for c in CLAIMS) + "][1 + doc_id % 7]"
 def reasoning_body_gate(spark, root):
     """FLT-15: word limits, headings and the 23 forbidden claims, with the first five texts of each; a claim is put after most texts."""
     claim = F.element_at(F.array(*[F.lit(c) for c in CLAIMS]), (1 + F.col("doc_id") % 7).cast("int"))
-    rows = table(spark, root, "documents").select("doc_id", F.explode(gates.body_problems(F.concat("text", F.lit(" "), claim))).alias("issue"))
+    rows = documents(spark, root).select("doc_id", F.explode_outer(gates.body_problems(F.concat("text", F.lit(" "), claim))).alias("issue")).where("issue is not null")
     return first_of(rows, "issue", "doc_id")
 
 
@@ -54,8 +49,8 @@ def action_contradictions(spark, root):
     plan = lambda k: F.element_at(F.array(*[F.lit(p) for p in PLANS]), (1 + F.pmod(F.col("doc_id") * k, F.lit(len(PLANS)))).cast("int"))
     actions = F.array(*[F.lit(a) for a in gates.TERMS])
     label = lambda k: F.element_at(actions, (1 + F.pmod(F.col("doc_id") + k, F.lit(8))).cast("int"))
-    rows = table(spark, root, "documents").select("doc_id", F.concat_ws(" ", "text", plan(1), plan(4)).alias("text"), label(0).alias("l"), label(3).alias("r"))
-    return rows.select("doc_id", F.explode(gates.action_contradictions(F.col("text"), F.col("l"), F.col("r"))).alias("issue"))
+    rows = documents(spark, root).select("doc_id", F.concat_ws(" ", "text", plan(1), plan(4)).alias("text"), label(0).alias("l"), label(3).alias("r"))
+    return rows.select("doc_id", F.explode_outer(gates.action_contradictions(F.col("text"), F.col("l"), F.col("r"))).alias("issue")).where("issue is not null")
 
 
 def _opening_sql(expression):
@@ -68,7 +63,7 @@ def _opening_sql(expression):
   SELECT lang, sha256(opening) AS opening, length(opening) AS length, n FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY n DESC, opening) AS k FROM c) WHERE k <= 20""")
 def normal_openings(spark, root):
     """STR-03, AGG-14: first sentences with arms, motions and numbers replaced by their kinds; the twenty most common of each language."""
-    c = table(spark, root, "documents").groupBy("lang", language.normal_opening(F.col("text")).alias("opening")).agg(F.count("*").alias("n"))
+    c = documents(spark, root).groupBy("lang", language.normal_opening(F.col("text")).alias("opening")).agg(F.count("*").alias("n"))
     ranked = c.withColumn("k", F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "opening"))).where("k <= 20")
     return ranked.select("lang", F.sha2("opening", 256).alias("opening"), F.length("opening").cast("long").alias("length"), "n")
 
@@ -89,7 +84,7 @@ def lenient_json(spark, root):
   SELECT rows_, rows_ - texts AS duplicates, (SELECT count(*) FROM p) AS prefixes, (SELECT max(n) FROM p) AS most_common, shortest, longest, (SELECT count(*) FROM p) >= least(rows_, greatest(10000, rows_ // 10)) AS diverse, (SELECT max(n) FROM p) <= greatest(1, CAST(ceil(0.02 * rows_) AS BIGINT)) AS level FROM s""")
 def diversity_audit(spark, root):
     """UDF-05, AGG-07 to AGG-09: what a hand-written accumulator would gather over texts, as two plain aggregations."""
-    w = table(spark, root, "documents").select(F.sha2(F.lower("text"), 256).alias("digest"), tokens(F.col("text"), "plain").alias("t"))
+    w = documents(spark, root).select(F.sha2(F.lower("text"), 256).alias("digest"), tokens(F.col("text"), "plain").alias("t"))
     p = w.groupBy(F.array_join(F.slice("t", 1, 8), " ").alias("prefix")).agg(F.count("*").alias("n")).agg(F.count("*").alias("prefixes"), F.max("n").alias("most_common"))
     n = F.col("rows_")
     s = w.agg(F.count("*").alias("rows_"), F.countDistinct("digest").alias("texts"), F.min(F.size("t")).cast("long").alias("shortest"), F.max(F.size("t")).cast("long").alias("longest"))
@@ -201,7 +196,7 @@ def annotation_rounds(spark, root):
         return row["t"][: 20 * number]
 
     critics = {"grounding": lambda draft, row: "short" if len(draft) < 30 else None, "action": lambda draft, row: "repetitive" if len(set(draft)) < 25 else None}
-    rows = annotate(table(spark, root, "documents").select("doc_id", tokens(F.col("text"), "plain").alias("t")), ["doc_id"], writer, critics, 3, "array<string>")
+    rows = annotate(documents(spark, root).select("doc_id", tokens(F.col("text"), "plain").alias("t")), ["doc_id"], writer, critics, 3, "array<string>")
     return rows.groupBy("accepted").agg(F.count("*").alias("docs"), F.sum(F.size("draft")).alias("words"))
 
 

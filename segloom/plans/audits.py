@@ -11,6 +11,7 @@ from segloom.operators.gates import citations_ok
 from segloom.operators.windows import along, label_runs
 from segloom.plans import sequential
 from segloom.plans.registry import query
+from segloom.plans.texts import documents
 from segloom.sources.tables import EVENTS, TIMELINE, events, table, timeline
 
 TL = f"WITH {TIMELINE}"
@@ -201,7 +202,7 @@ def split_disjointness(spark, root):
   c AS (SELECT *, sum(n) OVER (PARTITION BY doc_id ORDER BY k) AS total FROM n) SELECT doc_id, count(*) FILTER (WHERE total <= 50) AS sentences, CAST(coalesce(max(total) FILTER (WHERE total <= 50), 0) AS BIGINT) AS words FROM c GROUP BY doc_id""")
 def sentence_trim(spark, root):
     """STR-02: whole sentences up to fifty words."""
-    s = table(spark, root, "documents").select("doc_id", F.posexplode(F.split("text", r"[.!?]\s+")).alias("k", "s"))
+    s = documents(spark, root).select("doc_id", F.posexplode(F.split("text", r"[.!?]\s+")).alias("k", "s"))
     total = F.sum(F.regexp_count("s", F.lit(r"\S+"))).over(Window.partitionBy("doc_id").orderBy("k"))
     c = s.select("doc_id", total.alias("total"))
     return c.groupBy("doc_id").agg(F.count_if(F.col("total") <= 50).alias("sentences"), F.coalesce(F.max(F.when(F.col("total") <= 50, F.col("total"))), F.lit(0)).cast("long").alias("words"))
@@ -279,7 +280,7 @@ def recovery_rows(spark, root):
 @query("evidence_lines", r"WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS k FROM documents) SELECT doc_id, CAST(k AS INTEGER) AS k, length(line) AS n FROM l WHERE regexp_matches(line, '^(The|Der|La|Los) ')")
 def evidence_lines(spark, root):
     """ROW-14: lines of a text that begin in a known way, with their place."""
-    lines = table(spark, root, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("k", "line"))
+    lines = documents(spark, root).select("doc_id", F.posexplode(F.split("text", "\n")).alias("k", "line"))
     return lines.where(F.col("line").rlike("^(The|Der|La|Los) ")).select("doc_id", "k", F.length("line").cast("long").alias("n"))
 
 
@@ -303,6 +304,6 @@ def latest_prior_annotation(spark, root):
 @query("vocabulary_overlap", r"WITH w AS (SELECT DISTINCT lang, unnest(regexp_extract_all(lower(text), '[a-z0-9]+')) AS word FROM documents) SELECT a.lang AS a, b.lang AS b, count(*) AS shared FROM w a JOIN w b USING (word) WHERE a.lang < b.lang GROUP BY ALL")
 def vocabulary_overlap(spark, root):
     """SET-02, STR-13: words that two languages have in common."""
-    w = table(spark, root, "documents").select("lang", F.explode(tokens(F.col("text"), "strict")).alias("word")).distinct()
+    w = documents(spark, root).select("lang", F.explode_outer(tokens(F.col("text"), "strict")).alias("word")).where("word is not null").distinct()
     other = w.select(F.col("lang").alias("b"), "word")
     return w.withColumnRenamed("lang", "a").join(other, "word").where("a < b").groupBy("a", "b").agg(F.count("*").alias("shared"))

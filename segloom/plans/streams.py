@@ -223,11 +223,10 @@ def trend_onset(spark, root):
     w = along()
     after, before = w.rowsBetween(0, 2), w.rowsBetween(-3, -1)
     c = F.col("c")
-    f = ev.select("episode", "frame", "c", F.sum(c).over(after).alias("sa"), F.count("*").over(after).alias("na"), F.count_if(c >= 1000).over(after).alias("ha"), F.sum(c).over(before).alias("sb"), F.count("*").over(before).alias("nb"))
-    rises = f.where("na >= 2 and c >= 1000 and sa >= 2200 * na and 100 * ha >= 67 * na and (nb = 0 or sb < 2200 * nb or sa * nb >= sb * na + 600 * na * nb)").select("episode", "frame")
-    nominal = ev.where("label = 'signup'").select("episode", F.col("frame").alias("nominal"))
-    near = nominal.join(rises, (nominal.episode == rises.episode) & rises.frame.between(F.greatest(F.lit(1), F.col("nominal") - 5), F.col("nominal") + 5), "left").select(nominal.episode, "nominal", "frame")
-    return near.groupBy("episode", "nominal").agg(F.coalesce(F.min("frame"), F.col("nominal")).alias("onset"), (F.count("frame") > 0).alias("found"))
+    f = ev.select("episode", "frame", "label", "c", F.sum(c).over(after).alias("sa"), F.count("*").over(after).alias("na"), F.count_if(c >= 1000).over(after).alias("ha"), F.sum(c).over(before).alias("sb"), F.count("*").over(before).alias("nb"))
+    rises = F.expr("na >= 2 and c >= 1000 and sa >= 2200 * na and 100 * ha >= 67 * na and (nb = 0 or sb < 2200 * nb or sa * nb >= sb * na + 600 * na * nb)")
+    first = F.min(F.when(rises & (F.col("frame") >= 1), F.col("frame"))).over(w.rowsBetween(-5, 5))  # frames follow each other, so rows are frames
+    return f.withColumn("first", first).where("label = 'signup'").select("episode", F.col("frame").alias("nominal"), F.coalesce("first", "frame").alias("onset"), F.col("first").isNotNull().alias("found"))
 
 
 @query("activity_transitions", f"""WITH {EVENTS}, a AS (SELECT *, c > {HIGH} AS active, lag(c) OVER (PARTITION BY episode ORDER BY frame) AS p FROM ev)
@@ -343,10 +342,10 @@ def rejection_reason_counts_once(spark, root):
     return rows.groupBy(F.col("label").alias("reason")).agg(F.count("*").alias("n"))
 
 
-@query("history_list", f"""WITH {EVENTS}, {RUNS} SELECT episode, CAST(run AS BIGINT) AS segment, label, coalesce(list(label) OVER (PARTITION BY episode ORDER BY run ROWS BETWEEN 3 PRECEDING AND 1 PRECEDING), []) AS history FROM ru""")
+@query("history_list", f"""WITH {EVENTS}, {RUNS} SELECT episode, CAST(run AS BIGINT) AS segment, label, coalesce(list(label) OVER (PARTITION BY episode ORDER BY run ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), []) AS history FROM ru""")
 def history_list(spark, root):
-    """WIN-19, bounded to the three labels before."""
-    w = Window.partitionBy("episode").orderBy("run").rowsBetween(-3, -1)
+    """WIN-19: all labels before, in order. Rows grow with their episode, as the lists are what is asked for."""
+    w = Window.partitionBy("episode").orderBy("run").rowsBetween(Window.unboundedPreceding, -1)
     return label_runs(events(spark, root), "label").select("episode", F.col("run").cast("long").alias("segment"), "label", F.collect_list("label").over(w).alias("history"))
 
 

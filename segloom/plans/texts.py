@@ -8,13 +8,14 @@ import pandas as pd
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from segloom.functions.text import TOKENIZERS, ngrams, opening, sentence_count, token_count, tokens
+from segloom.functions.text import TOKENIZERS, gram_hashes, ngrams, opening, sentence_count, token_count, tokens
+from segloom.operators.windows import first_of
 from segloom.plans.registry import query
-from segloom.sources.tables import table
+from segloom.sources.tables import dealt, table
 
 
 def documents(spark, root):
-    return table(spark, root, "documents")
+    return dealt(table(spark, root, "documents"), "doc_id")
 
 
 def _count(kind):
@@ -84,9 +85,8 @@ def forbidden_phrase_gate(spark, root):
     """FLT-15, AGG-11: length and pattern rules, with the first five documents of each."""
     n = token_count(F.col("text"), "plain")
     issues = F.array(F.when(n < 55, "too_short"), F.when(n > 150, "too_long"), *[F.when(F.lower("text").rlike(p), k) for k, p in RULES.items()])
-    rows = documents(spark, root).select("doc_id", F.explode(F.filter(issues, lambda c: c.isNotNull())).alias("issue"))
-    placed = rows.withColumn("k", F.row_number().over(Window.partitionBy("issue").orderBy("doc_id")))
-    return placed.groupBy("issue").agg(F.count("*").alias("docs"), F.sort_array(F.collect_list(F.when(F.col("k") <= 5, F.col("doc_id")))).alias("examples"))
+    rows = documents(spark, root).select("doc_id", F.explode_outer(F.filter(issues, lambda c: c.isNotNull())).alias("issue")).where("issue is not null")
+    return first_of(rows, "issue", "doc_id")
 
 
 PHRASES = ("of the", "and the", "in the", "de la", "der ", "que ", "the ")
@@ -105,11 +105,19 @@ def phrase_counts(spark, root):
   dn AS (SELECT doc_id, count(*) AS n FROM dg GROUP BY 1), bn AS (SELECT item_id, count(*) AS m FROM bg GROUP BY 1), s AS (SELECT doc_id, item_id, count(*) AS shared FROM dg JOIN bg USING (gram) GROUP BY ALL)
   SELECT doc_id, item_id, shared, shared / least(n, m)::DOUBLE AS overlap FROM s JOIN dn USING (doc_id) JOIN bn USING (item_id) WHERE 2 * shared >= least(n, m)""")
 def ngram_contamination(spark, root):
-    """STR-04: shared word 4-grams over those of the shorter text; half or more. Grams are joined, so no text meets all others."""
-    d = documents(spark, root).select("doc_id", tokens(F.col("text"), "strict").alias("w")).select("doc_id", ngrams(F.col("w")).alias("g")).withColumn("n", F.size("g"))
-    b = table(spark, root, "benchmark").select("item_id", tokens(F.col("text"), "strict").alias("w")).select("item_id", ngrams(F.col("w")).alias("g")).withColumn("m", F.size("g"))
-    shared = d.select("doc_id", "n", F.explode("g").alias("gram")).join(b.select("item_id", "m", F.explode("g").alias("gram")), "gram").groupBy("doc_id", "n", "item_id", "m").agg(F.count("*").alias("shared"))
-    return shared.where(2 * F.col("shared") >= F.least("n", "m")).select("doc_id", "item_id", "shared", (F.col("shared") / F.least("n", "m")).alias("overlap"))
+    """STR-04: shared word 4-grams over those of the shorter text; half or more. Hashes of grams are joined, so no text meets all others
+    and no gram is moved as text; pairs that pass are counted anew on the grams themselves."""
+    def side(name, key, n):
+        return dealt(table(spark, root, name), key).select(F.col(key), tokens(F.col("text"), "strict").alias(f"w_{key}")).select(key, f"w_{key}", gram_hashes(F.col(f"w_{key}")).alias("g")).withColumn(n, F.size("g"))
+
+    d, b = side("documents", "doc_id", "n"), side("benchmark", "item_id", "m")
+    # The outer form, as for the inner one a filter on the arrays would be inferred, which computes them twice, and once in the scan's few tasks.
+    shared = d.select("doc_id", "n", F.explode_outer("g").alias("gram")).join(b.select("item_id", "m", F.explode_outer("g").alias("gram")), "gram").groupBy("doc_id", "n", "item_id", "m").agg(F.count("*").alias("s"))
+    pairs = shared.where(2 * F.col("s") >= F.least("n", "m")).select("doc_id", "item_id")
+    words = pairs.join(d.select("doc_id", "w_doc_id"), "doc_id").join(b.select("item_id", "w_item_id"), "item_id")
+    exact = words.select("doc_id", "item_id", ngrams(F.col("w_doc_id")).alias("a"), ngrams(F.col("w_item_id")).alias("b"))
+    rows = exact.select("doc_id", "item_id", F.size(F.array_intersect("a", "b")).cast("long").alias("shared"), F.least(F.size("a"), F.size("b")).alias("of"))
+    return rows.where(2 * F.col("shared") >= F.col("of")).select("doc_id", "item_id", "shared", (F.col("shared") / F.col("of")).alias("overlap"))
 
 
 @query("lexical_similarity")

@@ -71,12 +71,9 @@ def still_absorption(spark, root):
 
 @query("identical_pair_runs", f"{TL}, {PAIR_RUNS} SELECT episode, CAST(run - 1 AS BIGINT) AS run, pair, first_segment, last_segment, pieces, frames FROM pr")
 def identical_pair_runs(spark, root):
-    """WIN-07 on pairs of actions."""
-    tl = timeline(spark, root)
-    runs = label_runs(tl, pair(), frame="segment")
-    sizes = tl.select("episode", "segment", "n").withColumnRenamed("n", "rows")
-    joined = runs.join(sizes, (runs.episode == sizes.episode) & sizes.segment.between(runs.start_frame, runs.end_frame)).groupBy(runs.episode, "run", "label", "start_frame", "end_frame", "n").agg(F.sum("rows").alias("frames"))
-    return joined.select("episode", F.col("run").cast("long").alias("run"), F.col("label").alias("pair"), F.col("start_frame").alias("first_segment"), F.col("end_frame").alias("last_segment"), F.col("n").alias("pieces"), "frames")
+    """WIN-07 on pairs of actions, with the frames of each run from the same aggregation."""
+    runs = label_runs(timeline(spark, root), pair(), "episode", "segment", F.sum("n").alias("frames"))
+    return runs.select("episode", F.col("run").cast("long").alias("run"), F.col("label").alias("pair"), F.col("start_frame").alias("first_segment"), F.col("end_frame").alias("last_segment"), F.col("n").alias("pieces"), "frames")
 
 
 @query("adjacent_same_pairs", f"""{TL}, p AS (SELECT {PAIR} AS pair, n, lag({PAIR}) OVER (PARTITION BY episode ORDER BY segment) AS before FROM tl) SELECT pair, count(*) AS segments, count(*) FILTER (WHERE pair = before) AS same_as_before, count(*) FILTER (WHERE n < 8) AS short FROM p GROUP BY pair""")

@@ -11,6 +11,13 @@ def table(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{root}/{name}.parquet")
 
 
+def dealt(df: DataFrame, key: str) -> DataFrame:
+    """df dealt by key to all cores if it comes of fewer files than there are cores: a small file is one row group, so one task. A table
+    of many files stays as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if len(df._jdf.inputFiles()) >= cores else df.repartition(cores, key)
+
+
 def events(spark: SparkSession, root: str) -> DataFrame:
     """Event stream: episode, frame (0..n-1 in time order), t (microseconds), c (hundredths of value), label, event_id."""
     raw = table(spark, root, "events")
