@@ -132,3 +132,42 @@ def components(edges: DataFrame) -> DataFrame:
         last, seen = seen, tuple(now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
     nodes = now.select(F.col("u").alias("node"), F.col("v").alias("component"))
     return nodes.unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
+
+
+def in_sides(members: DataFrame, sizes: DataFrame, side: int) -> DataFrame:
+    """Members (class, node, and others) of classes dealt to groups and sorted by (group, node), with own, lo and hi.
+
+    sizes: class and n, of the classes wanted. A class of more than `side` members is split in sides by hash, and each pair of sides (lo,
+    hi) is a group of its own, so no task holds a whole hot class; own is the side of a member.
+    """
+    split = members.join(sizes.select("class", F.ceil(F.col("n") / side).cast("int").alias("sides")), "class")
+    split = split.withColumn("own", F.pmod(F.xxhash64("node"), F.col("sides")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("sides") - 1)))
+    split = split.withColumns({"lo": F.least("own", "other"), "hi": F.greatest("own", "other")}).withColumn("group", F.xxhash64("class", "lo", "hi"))
+    return by_group(split.drop("class", "sides", "other"))
+
+
+def by_group(rows: DataFrame) -> DataFrame:
+    return rows.repartition(shuffle_width(rows.sparkSession), "group").sortWithinPartitions("group", "node")
+
+
+def whole_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Tables of whole groups from batches that are sorted by `group`."""
+    rest = None
+    for b in batches:
+        if not b.num_rows:
+            continue
+        t = pa.Table.from_batches([b]) if rest is None else pa.concat_tables([rest, pa.Table.from_batches([b])]).combine_chunks()
+        group = t.column("group").to_numpy()
+        whole = int(np.searchsorted(group, group[-1], "left"))  # the last group may go on
+        rest = t.slice(whole)
+        if whole:
+            yield t.slice(0, whole)
+    if rest is not None and rest.num_rows:
+        yield rest
+
+
+def groups_of(t: pa.Table) -> list[tuple[int, int]]:
+    """Rows [a, z) of each group of a table of whole groups."""
+    group = t.column("group").to_numpy()
+    cuts = np.nonzero(np.concatenate([[True], group[1:] != group[:-1], [True]]))[0]
+    return list(zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True))

@@ -15,7 +15,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from segloom.llm.common import components, cut, discard, forest, lean, shuffle_width, text_bytes
+from segloom.llm.common import by_group, components, cut, discard, forest, groups_of, in_sides, lean, shuffle_width, text_bytes, whole_groups
 
 #: Rows of one mask and key that are compared in one task; larger groups are split in blocks of about so many.
 BLOCK = 1024
@@ -218,28 +218,6 @@ def differing(least: float, bits: int = 128) -> int:
     return int(bits * p + DEVIATIONS * np.sqrt(bits * p * (1 - p)))
 
 
-def _groups(t: pa.Table) -> list[tuple[int, int]]:
-    group = t.column("group").to_numpy()
-    cuts = np.nonzero(np.concatenate([[True], group[1:] != group[:-1], [True]]))[0]
-    return list(zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True))
-
-
-def _whole_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
-    """Tables of whole groups from batches that are sorted by `group`."""
-    rest = None
-    for b in batches:
-        if not b.num_rows:
-            continue
-        t = pa.Table.from_batches([b]) if rest is None else pa.concat_tables([rest, pa.Table.from_batches([b])]).combine_chunks()
-        group = t.column("group").to_numpy()
-        whole = int(np.searchsorted(group, group[-1], "left"))  # the last group may go on
-        rest = t.slice(whole)
-        if whole:
-            yield t.slice(0, whole)
-    if rest is not None and rest.num_rows:
-        yield rest
-
-
 class _Rows:
     """Columns of classed rows as arrays, and which pairs of them may be similar and are not connected yet."""
 
@@ -261,9 +239,9 @@ def active(rows: DataFrame, least: float) -> DataFrame:
     """rows of classed() that could be similar to some row of their group which no link connects them to; pairs are not returned."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for t in _whole_groups(batches):
+        for t in whole_groups(batches):
             x = _Rows(t, least)
-            stop = np.concatenate([np.full(z - a, z) for a, z in _groups(t)])
+            stop = np.concatenate([np.full(z - a, z) for a, z in groups_of(t)])
             keep, at, step = np.zeros(t.num_rows, bool), np.arange(t.num_rows), 1
             while True:
                 at = at[at + step < stop[at]]
@@ -285,11 +263,11 @@ def similar_pairs(rows: DataFrame, least: float) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for t in _whole_groups(batches):
+        for t in whole_groups(batches):
             x, out = _Rows(t, least), []
             sets = [np.frombuffer(s.as_buffer(), np.uint32) for s in t.column("shingles")]
             part = x.part.copy()
-            for a, z in _groups(t):
+            for a, z in groups_of(t):
                 every, back = np.unique(np.concatenate(sets[a:z]), return_inverse=True)
                 edge = np.concatenate([[0], np.cumsum([len(s) for s in sets[a:z]])])
                 mark = np.zeros(len(every), np.int32)
@@ -316,15 +294,9 @@ def similar_pairs(rows: DataFrame, least: float) -> DataFrame:
 
 
 def classed(members: DataFrame) -> DataFrame:
-    """Rows of classes dealt to groups, sorted by group: members (class, node and others) with group, own, lo and hi.
-
-    A class of more than SIDE rows is split in sides, and each pair of sides is a group of its own.
-    """
+    """members (class, node, part and others) of the classes that hold several components, in groups of in_sides()."""
     many = members.groupBy("class").agg(F.count("*").alias("n"), F.min("part").alias("a"), F.max("part").alias("z")).where("a <> z")
-    split = members.join(many.select("class", F.ceil(F.col("n") / SIDE).cast("int").alias("sides")), "class")
-    split = split.withColumn("own", F.pmod(F.xxhash64("node"), F.col("sides")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("sides") - 1)))
-    split = split.withColumns({"lo": F.least("own", "other"), "hi": F.greatest("own", "other")}).withColumn("group", F.xxhash64("class", "lo", "hi"))
-    return split.drop("class", "sides", "other").repartition(shuffle_width(members.sparkSession), "group").sortWithinPartitions("group", "node")
+    return in_sides(members, many, SIDE)
 
 
 def similar_documents(docs: DataFrame, width: int = 5, least: float = 0.8) -> DataFrame:
@@ -412,8 +384,7 @@ def similar_documents(docs: DataFrame, width: int = 5, least: float = 0.8) -> Da
     members = cut(members, "members")
     some = cut(active(classed(members), least), "active")
     discard(keyed, members)
-    ready = some.join(sets_of(some), "node").repartition(shuffle_width(docs.sparkSession), "group").sortWithinPartitions("group", "node")
-    more = cut(similar_pairs(ready, least), "links")
+    more = cut(similar_pairs(by_group(some.join(sets_of(some), "node")), least), "links")
     joined = components(first.select(F.col("node").alias("src"), F.col("component").alias("dst")).unionByName(more))
     named = table.groupBy("digest").agg(F.min("doc_id").alias("node")).join(joined, "node", "left").select("digest", F.coalesce("component", "node").alias("component_id"))
     out = cut(table.select("doc_id", "digest").join(named, "digest").select("doc_id", "component_id"), "similar")
