@@ -15,26 +15,40 @@ from segloom.llm.common import WORD, cut
 
 #: A hash bucket of a source, which one task orders, has about so many rows, or the root of the source's rows if that is more.
 BUCKET_ROWS = 500
-#: The driver computes targets for so many sources at most.
-MOST_SOURCES = 100_000
+#: The targets of so many sources, a row of numbers each, are sent to all tasks; of more they are joined by an exchange.
+FEW_SOURCES = 100_000
 
 
-def budgets(sizes: list[int], weights: list[int], cap: int = 3) -> list[tuple[int, int]]:
-    """Target of each source as a fraction (numerator, denominator).
+def targets(totals: DataFrame, weights: tuple[int, ...], cap: int) -> DataFrame:
+    """totals (mix_name, mix_source_size, mix_n; a row for each source) with mix_rank, mix_target, mix_epochs, mix_rest and mix_buckets.
 
-    The targets share the sum of all sizes by weight; none exceeds cap times its source's size, and what is above goes to the
-    others by weight until none is above. Sources are capped in the order of cap * size / weight, so one pass settles it.
+    The targets share the sum of all sizes by weight; none exceeds cap times its source's size, and what is above goes to the others by
+    weight until none is above. Sources are capped in the order of size by weight, so prefix sums over that order settle it: a source is
+    capped if its share of what those before it leave is above its cap. All is whole numbers; windows over all sources are one task
+    each, which sorts rows of a few numbers and spills.
     """
-    total, weight = sum(sizes), sum(weights)
-    out = [(0, 1)] * len(sizes)
-    order = sorted(range(len(sizes)), key=lambda i: (sizes[i] / weights[i], i))
-    while order and total * weights[order[0]] > cap * sizes[order[0]] * weight:
-        i = order.pop(0)
-        out[i] = (cap * sizes[i], 1)
-        total, weight = total - cap * sizes[i], weight - weights[i]
-    for i in order:
-        out[i] = (total * weights[i], weight)
-    return out
+    wide = lambda c: c.cast("decimal(38,0)")
+    every = Window.partitionBy(F.lit(0))
+    rank = F.row_number().over(every.orderBy(F.col("mix_name").asc_nulls_last())) - 1
+    w = wide(F.element_at(F.array(*[F.lit(x) for x in weights]), (1 + F.col("mix_rank") % len(weights)).cast("int")))
+    rows = totals.withColumn("mix_rank", rank).withColumn("w", w).withColumn("total", wide(F.col("mix_source_size")))
+    order = every.orderBy(F.col("total").cast("double") / F.col("w").cast("double"), "mix_rank")
+    before, after = order.rowsBetween(Window.unboundedPreceding, -1), order.rowsBetween(0, Window.unboundedFollowing)
+    rows = rows.withColumns({"k": F.row_number().over(order), "rest": wide(F.sum("total").over(every)) - cap * wide(F.coalesce(F.sum("total").over(before), F.lit(0))), "left": wide(F.sum("w").over(after))})
+    capped = F.max(F.when(wide(F.col("rest") * F.col("w")) > cap * wide(F.col("total") * F.col("left")), F.col("k")).otherwise(0)).over(every)
+    rows = rows.withColumn("capped", capped)
+    at = F.col("k") == F.col("capped") + 1
+    rows = rows.withColumns({"rest": F.max(F.when(at, F.col("rest"))).over(every), "left": F.max(F.when(at, F.col("left"))).over(every), "full": F.col("k") <= F.col("capped")})
+    share = wide(F.col("rest") * F.col("w"))
+    exact = wide((share - share % F.col("left")) / F.col("left"))  # a decimal quotient is rounded, so the remainder is taken off first
+    budget = F.when(F.col("full"), wide(cap * F.col("total"))).otherwise(exact)
+    target = F.when(F.col("full"), (cap * F.col("total")).cast("double")).otherwise(share.cast("double") / F.col("left").cast("double"))
+    some = F.col("total") > 0
+    rest = F.when(some, budget % F.col("total")).otherwise(0)
+    epochs = F.when(some, (budget - budget % F.col("total")) / F.col("total")).otherwise(0)
+    n = F.col("mix_n")
+    buckets = F.greatest(F.lit(1), F.ceil(n / F.greatest(F.lit(BUCKET_ROWS), F.floor(F.sqrt(n)))))
+    return rows.select("mix_name", "mix_rank", "mix_source_size", target.alias("mix_target"), epochs.cast("long").alias("mix_epochs"), rest.cast("long").alias("mix_rest"), buckets.cast("int").alias("mix_buckets"))
 
 
 def buckets_for(rows: int) -> int:
@@ -55,19 +69,11 @@ def mix(docs: DataFrame, size: str = "size", source: str = "source", doc_id: str
     point, null last, and weights repeat over that order. A null size counts as 0. Columns of docs keep their names; names that
     begin with mix_ are replaced.
     """
-    spark = docs.sparkSession
     docs = docs.drop(*[c for c in docs.columns if c.startswith("mix_")])
     units = F.coalesce(F.col(size).cast("long"), F.lit(0))
-    totals = docs.groupBy(F.col(source).alias("s")).agg(F.sum(units).alias("total"), F.count("*").alias("n")).orderBy(F.col("s").asc_nulls_last()).limit(MOST_SOURCES + 1).collect()
-    if len(totals) > MOST_SOURCES:
-        raise ValueError(f"more than {MOST_SOURCES} sources")
-    cuts = budgets([r.total for r in totals], [weights[i % len(weights)] for i in range(len(totals))], cap)
-    rows = []
-    for i, (r, (a, b)) in enumerate(zip(totals, cuts, strict=True)):
-        whole = a // b
-        rows.append((r.s, i, r.total, a / b, whole // r.total if r.total else 0, whole % r.total if r.total else 0, buckets_for(r.n)))
-    table = spark.createDataFrame(rows, f"mix_name {docs.schema[source].dataType.simpleString()}, mix_rank int, mix_source_size long, mix_target double, mix_epochs long, mix_rest long, mix_buckets int")
-    keyed = docs.withColumn("mix_key", random_key(doc_id)).join(F.broadcast(table), F.col(source).eqNullSafe(F.col("mix_name")))
+    table = cut(targets(docs.groupBy(F.col(source).alias("mix_name")).agg(F.sum(units).alias("mix_source_size"), F.count("*").alias("mix_n")), weights, cap), "sources")
+    table = F.broadcast(table) if table.count() <= FEW_SOURCES else table
+    keyed = docs.withColumn("mix_key", random_key(doc_id)).join(table, F.col(source).eqNullSafe(F.col("mix_name")))
     keyed = keyed.withColumn("mix_bucket", (F.conv(F.substring("mix_key", 1, 8), 16, 10).cast("long") * F.col("mix_buckets") / 4294967296).cast("int"))
     before = Window.partitionBy("mix_rank").orderBy("mix_bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = keyed.groupBy("mix_rank", "mix_bucket").agg(F.sum(units).alias("mix_sum")).withColumn("mix_before", F.coalesce(F.sum("mix_sum").over(before), F.lit(0))).drop("mix_sum")

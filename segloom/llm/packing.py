@@ -33,7 +33,8 @@ class Encoder:
 
     Such a vocabulary drops white space and case and never joins what white space separates, so a text is put in lower case (A-Z),
     split at ASCII white space, and each distinct word is encoded once. Words of letters are looked up without the marks after
-    them, and those not yet known are encoded in one string: each gives exactly one id that ends a word, which tells them apart.
+    them, and those not yet known are encoded in one string: each gives exactly one id that ends a word, which tells them apart. A
+    vocabulary that is not so is refused.
     """
 
     def __init__(self, path: str):
@@ -46,6 +47,9 @@ class Encoder:
         for token, i in self.tokenizer.get_vocab(with_added_tokens=False).items():
             ends[i] = bool(suffix) and token.endswith(suffix)
         self.ends = ends
+        probe = "It's  a Probe,\tof\n\n9 WORDS: don't... \r\nx"
+        if b"".join(self._plain([probe])) != b"".join(self._plain(probe.lower().split())):
+            raise ValueError(f"{path}: case or white space matters to this vocabulary, so texts can't be encoded word by word")
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 

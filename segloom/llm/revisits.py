@@ -14,7 +14,7 @@ from segloom.llm.common import cut
 # Header fields that a 304 response may carry to update a stored response (RFC 9110, section 15.4.5).
 PERMITTED = ("cache-control", "content-location", "date", "etag", "expires", "vary")
 # Query parameters that do not select content.
-TRACKING = r"^(utm_[a-z]+|ref|gclid|fbclid)="
+TRACKING = r"^(utm_[a-z]+|gclid|fbclid)="
 
 
 def canonical_url(url: Column) -> Column:
@@ -46,8 +46,8 @@ def resolve(records: DataFrame, span: int = 4096) -> DataFrame:
     records: record_id long, url string, ts long, kind string (response or revisit), etag string, last_modified string, headers
     map<string,string>, names in lower case; other columns are kept. Adds canonical_url, response_id (of the latest response of
     that URL at or before ts; a response before a revisit of the same ts, then the larger record_id), outcome and merged_headers.
-    outcome: response for a response; for a revisit resolved, no_response (nothing earlier), or mismatch (an ETag that differs, or,
-    without ETags on both sides, a Last-Modified that differs); no_validator if no validator stands on both sides. merged_headers
+    outcome: response for a response; for a revisit resolved, no_response (nothing earlier), or mismatch (an ETag that differs by weak
+    comparison, or, without ETags on both sides, a Last-Modified that differs); no_validator if no validator stands on both sides. merged_headers
     is null unless resolved. A null url is matched with nothing. A null ts stands before all others.
 
     A hot URL is split: the time line is cut in spans of `span` units, each (URL, span) looks for its response inside, and what
@@ -67,11 +67,12 @@ def resolve(records: DataFrame, span: int = 4096) -> DataFrame:
     back = F.when(F.col("m").isNotNull(), F.struct(r["at"].alias("at"), r["record_id"].alias("record_id"), r["etag"].alias("etag"), r["last_modified"].alias("last_modified"), F.map_from_entries(r["headers"]).alias("headers")))
     carry = wanted.join(ends, ["canonical_url", "_span"], "left").withColumn("_before", F.last(back, ignorenulls=True).over(carried)).drop("m")
     out = near.join(carry, ["canonical_url", "_span"], "left").withColumn("_r", F.coalesce("_in", "_before"))
+    opaque = lambda c: F.regexp_replace(c, "^W/", "")  # noqa: E731  # weak comparison looks at the opaque part alone (RFC 9110, 8.8.3.2)
     tags, dates = F.col("etag").isNotNull() & F.col("_r.etag").isNotNull(), F.col("last_modified").isNotNull() & F.col("_r.last_modified").isNotNull()
     outcome = (
         F.when(F.col("kind") == "response", "response")
         .when(F.col("_r").isNull(), "no_response")
-        .when(tags, F.when(F.col("etag") == F.col("_r.etag"), "resolved").otherwise("mismatch"))
+        .when(tags, F.when(opaque("etag") == opaque("_r.etag"), "resolved").otherwise("mismatch"))
         .when(dates, F.when(F.col("last_modified") == F.col("_r.last_modified"), "resolved").otherwise("mismatch"))
         .otherwise("no_validator")
     )
@@ -109,7 +110,7 @@ WITH u AS (SELECT page_id, url, md5(coalesce(html, '')) AS tag, sha256(coalesce(
                   regexp_replace(url, '#.*$', '') AS plain FROM pages),
 v AS (SELECT *, regexp_replace(plain, '\?.*$', '') AS path, regexp_extract(plain, '\?(.*)$', 1) AS query FROM u),
 w AS (SELECT *, regexp_extract(path, '^([A-Za-z][A-Za-z0-9+.-]*://[^/]*)', 1) AS head,
-             array_to_string(list_sort(list_filter(string_split(query, '&'), lambda p: p <> '' AND NOT regexp_matches(p, '^(utm_[a-z]+|ref|gclid|fbclid)='))), '&') AS kept FROM v),
+             array_to_string(list_sort(list_filter(string_split(query, '&'), lambda p: p <> '' AND NOT regexp_matches(p, '^(utm_[a-z]+|gclid|fbclid)='))), '&') AS kept FROM v),
 c AS (SELECT page_id, tag, body, n, regexp_replace(regexp_replace(lower(head), '^(http://.*):80$', '\1'), '^(https://.*):443$', '\1')
              || regexp_replace(substr(path, length(head) + 1), '/+$', '') || CASE WHEN kept <> '' THEN '?' || kept ELSE '' END AS canonical_url FROM w),
 r AS (SELECT 2 * page_id AS record_id, 2 * page_id AS ts, 'response' AS kind, * FROM c

@@ -552,12 +552,25 @@ def shares(sizes, weights):
         capped |= over
 
 
-def test_budgets():
+def test_targets(spark):
     rng = random.Random(3)
-    for _ in range(300):
-        sizes = [rng.choice([0, 1, rng.randint(0, 1000)]) for _ in range(rng.randint(1, 9))]
-        weights = [(5, 2, 1)[i % 3] for i in range(len(sizes))]
-        assert [a / b for a, b in mixing.budgets(sizes, weights)] == pytest.approx(shares(sizes, weights))
+    for case in range(6):
+        sizes = {f"s{k}" if k else None: rng.choice([0, 1, 5, 40, 1000, 10**12]) * rng.randint(1, 3) for k in range(rng.randint(1, 9))}
+        names = sorted((n for n in sizes if n), key=lambda n: n.encode()) + [n for n in sizes if n is None]
+        weights = [(5, 2, 1)[i % 3] for i in range(len(names))]
+        rows = spark.createDataFrame([(n, sizes[n], 10) for n in names], "mix_name string, mix_source_size long, mix_n long")
+        got = {r.mix_name: r for r in mixing.targets(rows, (5, 2, 1), 3).collect()}
+        want = shares([sizes[n] for n in names], weights)
+        for n, w in zip(names, want, strict=True):
+            r = got[n]
+            assert r.mix_target == pytest.approx(w) and (not sizes[n] or 0 <= r.mix_rest < sizes[n] and abs(r.mix_epochs * sizes[n] + r.mix_rest - w) < 1 + 1e-12 * w)
+
+
+def test_mix_joins_many_sources_by_an_exchange(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, f"s{i % 40}", i % 7) for i in range(400)], "doc_id long, source string, size long")
+    few = sorted(map(tuple, mixing.mix(docs).collect()))
+    monkeypatch.setattr(mixing, "FEW_SOURCES", 5)
+    assert sorted(map(tuple, mixing.mix(docs).collect())) == few
 
 
 def test_mix_takes_each_budget_exactly(spark, rows):
