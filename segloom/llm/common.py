@@ -75,6 +75,11 @@ def lean(batches: Iterator[pa.RecordBatch], rows: int = 2000) -> Iterator[pa.Rec
     for b in batches:
         for i in range(0, b.num_rows, rows):
             yield b.slice(i, rows)
+    give_back()
+
+
+def give_back() -> None:
+    """Return to the system what memory a worker no longer uses."""
     gc.collect()
     pa.default_memory_pool().release_unused()
     try:
