@@ -147,6 +147,7 @@ def test_propose_covers():
 def test_contradictions():
     assert contradictions("The left arm will open the gripper.", "close_gripper", "still") == ["left:open_gripper"]
     assert contradictions("The left arm will not open the gripper.", "close_gripper", "still") == []
-    assert contradictions("If needed, the right arm should lift.", "move", "lower") == []
+    assert contradictions("See whether the right arm should lift.", "move", "lower") == []
+    assert contradictions("If needed, the right arm should lift.", "move", "lower") == ["right:lift"]  # a comma ends what is hypothetical
     assert contradictions("The right arm must move away.", "move", "still") == ["right:move"]
     assert contradictions(None, "move", "still") == []
