@@ -26,6 +26,13 @@ def norm(a: Sequence[Column]) -> Column:
     return F.sqrt(dot(a, a).cast("double"))
 
 
+def round_even(x: Column, digits: int) -> Column:
+    """A double rounded half to even as DuckDB's round_even does it: the scaled double decides what is a half. bround() looks at the
+    shortest decimal instead, and so rounds another way where scaling makes or breaks a half."""
+    scale = 10.0**digits
+    return F.rint(x * F.lit(scale)) / F.lit(scale)
+
+
 def quaternion_angle(a: Sequence[Column], b: Sequence[Column]) -> Column:
     """Rotation between two quaternions (w, x, y, z) of any length, in radians; null if one is zero."""
     cosine = F.abs(dot(a, b)) / F.nullif(norm(a) * norm(b), F.lit(0.0))

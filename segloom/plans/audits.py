@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from segloom.functions.arrays import round_even
 from segloom.functions.text import tokens
 from segloom.operators import kernels
 from segloom.operators.gates import citations_ok
@@ -220,7 +221,7 @@ def citation_validity(spark, root):
 def temporal_parameters(spark, root):
     """PRJ-16, AGG-23: durations in frames of the median step, half to even, with least values."""
     d = events(spark, root).withColumn("dt", F.col("t") - F.lag("t").over(along())).groupBy("episode").agg(F.percentile("dt", F.lit(0.5)).alias("period"))
-    frames = lambda s, least: F.greatest(F.lit(least), F.bround(F.lit(s) / F.col("period"), 0)).cast("long")
+    frames = lambda s, least: F.greatest(F.lit(least), round_even(F.lit(s) / F.col("period"), 0)).cast("long")
     return d.select("episode", "period", frames(3.6e10, 1).alias("window_frames"), frames(7.2e9, 3).alias("phase_frames"))
 
 

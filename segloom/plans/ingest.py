@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from segloom.functions.arrays import norm, parts
+from segloom.functions.arrays import norm, parts, round_even
 from segloom.functions.text import json_keys
 from segloom.operators import ingest
 from segloom.operators.windows import along, block_numbers
@@ -251,7 +251,7 @@ def unit_directions(spark, root):
     """PRJ-02: directions of length one; those without a length are left out."""
     v = parts("x", (0, 1, 2))
     rows = vectors(spark, root).withColumn("len", norm(v)).where("len > 1e-12")
-    return rows.select("episode", "frame", *[F.bround(c / F.col("len"), 6).alias(n) for c, n in zip(v, ("ux", "uy", "uz"), strict=True)])
+    return rows.select("episode", "frame", *[round_even(c / F.col("len"), 6).alias(n) for c, n in zip(v, ("ux", "uy", "uz"), strict=True)])
 
 
 @query("gripper_anchor", f"{VX} SELECT episode, frame, (120000 - x[8]) / 240000.0::DOUBLE AS opening, x[8] / 1000000.0::DOUBLE / 0.103::DOUBLE AS aperture FROM vx")

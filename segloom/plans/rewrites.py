@@ -6,6 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from segloom.functions import language
+from segloom.functions.arrays import round_even
 from segloom.operators import ingest as adapters
 from segloom.operators import rewrites
 from segloom.operators.windows import absorb_still, along, block_numbers, label_runs
@@ -160,7 +161,7 @@ def trajectory_metrics(spark, root):
     rows = vectors(spark, root).withColumn("segment", F.floor(F.col("frame") / 4)).withColumn("p", F.lag("x").over(w)).withColumn("o", F.first("x").over(w))
     step, way = rewrites.arm_metrics("p", "x", 0), rewrites.arm_metrics("o", "x", 0)
     z, grip = F.get("x", F.lit(2)), F.get("x", F.lit(7))
-    return rows.groupBy("episode", "segment").agg(F.bround(F.max(way["translation"]), 2).alias("farthest"), F.bround(F.max_by(way["translation"], "frame"), 2).alias("net"), F.bround(F.sum(step["translation"]), 2).alias("path"), F.bround(F.sum(step["rotation"]), 6).alias("rotation"), (F.max(z) - F.min(z)).alias("vertical_range"), (F.max(grip) - F.min(grip)).alias("grip_range"))
+    return rows.groupBy("episode", "segment").agg(round_even(F.max(way["translation"]), 2).alias("farthest"), round_even(F.max_by(way["translation"], "frame"), 2).alias("net"), round_even(F.sum(step["translation"]), 2).alias("path"), round_even(F.sum(step["rotation"]), 6).alias("rotation"), (F.max(z) - F.min(z)).alias("vertical_range"), (F.max(grip) - F.min(grip)).alias("grip_range"))
 
 
 @query("short_rewrite", f"""{sequential.SHORT_MERGE.replace("SELECT episode, CAST(i - 1 AS BIGINT) AS grp, g[i].pair AS pair, g[i].a AS start_frame, g[i].z AS end_frame, g[i].k AS pieces FROM u", "SELECT 1")[:-len("SELECT 1")].rstrip()}, v AS (SELECT episode, CAST(i - 1 AS BIGINT) AS segment, g[i].pair AS verb, g[i].a AS start_frame, g[i].z AS end_frame, g[i].k AS pieces, g[i].z - g[i].a + 1 AS valid FROM u)

@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from segloom.functions.arrays import dot, log_delta, minus, norm, parts, quaternion_angle
+from segloom.functions.arrays import dot, log_delta, minus, norm, parts, quaternion_angle, round_even
 from segloom.operators import kernels
 from segloom.operators.segmentation import propose, segment_episode
 from segloom.operators.windows import along, moving_sum, sign_continuity
@@ -44,13 +44,13 @@ def velocity(spark, root):
     """PRJ-09: differences to the frame before; zero in frame 0."""
     d = minus(parts("x", XYZ), parts("p", XYZ))
     zero = [F.coalesce(c, F.lit(0)).alias(n) for c, n in zip(d, ("vx", "vy", "vz"), strict=True)]
-    return lagged(spark, root).select("episode", "frame", *zero, F.coalesce(F.bround(norm(d), 3), F.lit(0.0)).alias("speed"))
+    return lagged(spark, root).select("episode", "frame", *zero, F.coalesce(round_even(norm(d), 3), F.lit(0.0)).alias("speed"))
 
 
 @query("quat_angle", f"{VX}, {LAGGED} SELECT episode, frame, round_even(2 * acos(least(abs({_dot('x', QUAT, 'p')}) / ({_norm('x', QUAT)} * {_norm('p', QUAT)}), 1.0)), 6) AS angle FROM lg WHERE p IS NOT NULL")
 def quat_angle(spark, root):
     """PRJ-03, PRJ-04."""
-    return lagged(spark, root).where("p is not null").select("episode", "frame", F.bround(quaternion_angle(parts("x", QUAT), parts("p", QUAT)), 6).alias("angle"))
+    return lagged(spark, root).where("p is not null").select("episode", "frame", round_even(quaternion_angle(parts("x", QUAT), parts("p", QUAT)), 6).alias("angle"))
 
 
 @query("quat_log_delta", f"""{VX}, {LAGGED}, m AS (SELECT episode, frame, {_dot('x', QUAT, 'p')} AS w,
@@ -61,7 +61,7 @@ def quat_log_delta(spark, root):
     """PRJ-05."""
     as_double = lambda c: [v.cast("double") for v in parts(c, QUAT)]
     r = log_delta(as_double("p"), as_double("x"))
-    return lagged(spark, root).where("p is not null").select("episode", "frame", *[F.bround(c, 6).alias(n) for c, n in zip(r, ("rx", "ry", "rz"), strict=True)])
+    return lagged(spark, root).where("p is not null").select("episode", "frame", *[round_even(c, 6).alias(n) for c, n in zip(r, ("rx", "ry", "rz"), strict=True)])
 
 
 @query("quat_sign_continuity", f"""{VX}, {LAGGED}, d AS (SELECT episode, frame, x[4] AS w, coalesce({_dot('x', QUAT, 'p')}, 1) AS dp FROM lg), g AS (SELECT *, sum(CASE WHEN dp = 0 THEN 1 ELSE 0 END) OVER (PARTITION BY episode ORDER BY frame) AS part FROM d)
@@ -112,7 +112,7 @@ def direction_changes(spark, root):
     before, after = minus(parts("x", XYZ), parts("a", XYZ)), minus(parts("z", XYZ), parts("x", XYZ))
     rows = rows.select("episode", "frame", dot(before, after).alias("d"), dot(before, before).alias("n1"), dot(after, after).alias("n2")).where("n1 >= 10000000000 and n2 >= 10000000000")
     cosine = F.col("d") / (F.sqrt(F.col("n1").cast("double")) * F.sqrt(F.col("n2").cast("double")))
-    return rows.withColumn("c", cosine).where("c < 0.35").select("episode", "frame", F.bround("c", 6).alias("cosine"))
+    return rows.withColumn("c", cosine).where("c < 0.35").select("episode", "frame", round_even(F.col("c"), 6).alias("cosine"))
 
 
 @query("robust_velocity_scale", f"""{VX}, {LAGGED}, e AS (SELECT episode, unnest(range(16)) AS dim, unnest(list_transform(range(1, 17), lambda i: abs(x[i] - p[i]))) AS v FROM lg WHERE p IS NOT NULL), q AS (SELECT episode, dim, quantile_cont(v, 0.9) AS s FROM e GROUP BY ALL)
@@ -121,7 +121,7 @@ def robust_velocity_scale(spark, root):
     """AGG-22."""
     step = F.transform(F.arrays_zip("x", "p"), lambda r: F.abs(r["x"] - r["p"]))
     rows = lagged(spark, root).where("p is not null").select("episode", F.posexplode(step).alias("dim", "v"))
-    return rows.groupBy("episode", "dim").agg(F.bround(F.percentile("v", F.lit(0.9)), 3).alias("scale"))
+    return rows.groupBy("episode", "dim").agg(round_even(F.percentile("v", F.lit(0.9)), 3).alias("scale"))
 
 
 BLOCKS = "bl AS (SELECT *, frame // 10 AS segment FROM vx), sg AS (SELECT episode, segment, min(frame) AS start_frame, max(frame) AS end_frame, count(*) AS n FROM bl GROUP BY ALL)"
@@ -135,7 +135,7 @@ def blocks(spark, root):
 def guide_action(spark, root):
     """PRJ-11: last state minus first, four decimals, half to even, in one aggregation."""
     ends = blocks(spark, root).groupBy("episode", "segment").agg(F.count("*").alias("n"), F.min_by("x", "frame").alias("a"), F.max_by("x", "frame").alias("z"))
-    return ends.select("episode", "segment", "n", F.transform(F.arrays_zip("a", "z"), lambda r: F.bround((r["z"] - r["a"]) / 1000000, 4)).alias("guide"))
+    return ends.select("episode", "segment", "n", F.transform(F.arrays_zip("a", "z"), lambda r: round_even((r["z"] - r["a"]) / 1000000, 4)).alias("guide"))
 
 
 @query("segment_motion_summary", f"""{VX}, {BLOCKS}, st AS (SELECT *, lag(x) OVER (PARTITION BY episode, segment ORDER BY frame) AS p FROM bl)
@@ -145,7 +145,7 @@ def segment_motion_summary(spark, root):
     z, grip = F.get("x", F.lit(2)), F.get("x", F.lit(GRIP))
     rows = blocks(spark, root).withColumn("p", F.lag("x").over(along(["episode", "segment"])))
     ends = lambda c: F.max_by(c, "frame") - F.min_by(c, "frame")
-    return rows.groupBy("episode", "segment").agg(F.bround(F.sum(norm(minus(parts("x", XYZ), parts("p", XYZ)))), 2).alias("path_length"), ends(z).alias("vertical"), (F.max(z) - F.min(z)).alias("vertical_range"), ends(grip).alias("grip_delta"), (F.sum(grip) / F.count("*")).alias("mean_grip"))
+    return rows.groupBy("episode", "segment").agg(round_even(F.sum(norm(minus(parts("x", XYZ), parts("p", XYZ)))), 2).alias("path_length"), ends(z).alias("vertical"), (F.max(z) - F.min(z)).alias("vertical_range"), ends(grip).alias("grip_delta"), (F.sum(grip) / F.count("*")).alias("mean_grip"))
 
 
 @query("contradiction_candidates", f"""{VX}, {BLOCKS}, e AS (SELECT sg.episode, sg.segment, z.x[3] - a.x[3] AS v, z.x[8] - a.x[8] AS g, (z.x[1]-a.x[1])*(z.x[1]-a.x[1]) + (z.x[2]-a.x[2])*(z.x[2]-a.x[2]) AS h2, CASE WHEN sg.segment % 3 = 0 THEN 'still' WHEN sg.segment % 3 = 1 THEN 'lift' ELSE 'close' END AS label

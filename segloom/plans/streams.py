@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from segloom.functions.arrays import round_even
 from segloom.operators.joins import asof, interval_overlap, nearest
 from segloom.operators.windows import along, bridged, edge_moving_sum, gap_clusters, islands, label_runs, moving_sum
 from segloom.plans.registry import query
@@ -136,7 +137,7 @@ def value_rate_energy(spark, root):
     unit = F.when(F.col("span") <= 1e-9, 0.0).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), (F.col("c") - F.col("lo")) / F.col("span"))))
     ev = ev.withColumn("unit", unit)
     rate = F.abs(F.col("unit") - F.lag("unit").over(along())) / (F.col("dt") / 1e9)
-    return ev.select("episode", "frame", F.bround("unit", 6).alias("unit"), F.when(F.col("frame") == 0, 0.0).otherwise(F.bround(rate, 6)).alias("energy"))
+    return ev.select("episode", "frame", round_even(F.col("unit"), 6).alias("unit"), F.when(F.col("frame") == 0, 0.0).otherwise(round_even(rate, 6)).alias("energy"))
 
 
 @query("mask_islands", f"""WITH {EVENTS} SELECT episode, min(frame) AS start_frame, max(frame) AS end_frame, count(*) AS n, CAST(sum(c) AS BIGINT) AS total FROM (

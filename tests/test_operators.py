@@ -5,6 +5,7 @@ import random
 
 from pyspark.sql import functions as F
 
+from segloom.functions.arrays import round_even
 from segloom.operators.joins import aligned_audit, asof, interval_overlap, nearest
 from segloom.operators.windows import absorb_still, block_numbers, bridged, edge_moving_sum, along, gap_clusters, islands, label_runs, moving_sum, segments_from_boundaries
 from segloom.operators.segmentation import still_groups
@@ -89,3 +90,12 @@ def test_aligned_audit(spark):
     a = spark.createDataFrame([(1, "x"), (2, None), (3, "z")], "k long, f string")
     b = spark.createDataFrame([(1, "y"), (2, None), (4, "z")], "k long, f string")
     assert {r.issue: r.n for r in aligned_audit(a, b, ["k"], ["f"]).collect()} == {"differs_f": 1, "missing_left": 1, "missing_right": 1}
+
+
+def test_half_even_rounding_is_that_of_the_sql(spark):
+    import duckdb
+
+    values = [k * 50 / 1e6 for k in range(-4001, 4001, 2)] + [k / 1e6 for k in range(-900_007, 900_000, 997)]
+    want = duckdb.sql(f"SELECT round_even(unnest({values}::DOUBLE[]), 4) AS r").fetchall()
+    got = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i long, v double").orderBy("i").select(round_even(F.col("v"), 4).alias("r")).collect()
+    assert [r.r for r in got] == [r[0] for r in want]
