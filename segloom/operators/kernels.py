@@ -7,7 +7,9 @@ from __future__ import annotations
 
 import math
 from bisect import bisect_left, bisect_right
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
+from functools import reduce
+from operator import add
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -160,6 +162,11 @@ def persistent_runs(runs: Sequence[tuple], least: int) -> list[tuple]:
     return [tuple(r) for r in out]
 
 
+def plain_sum(values: Iterable[float]) -> float:
+    """Sum from left to right, each step rounded, as SQL engines add doubles; sum() of Python 3.12 and later compensates."""
+    return reduce(add, values, 0.0)
+
+
 def combine(cluster: Sequence[dict]) -> dict:
     """One piece of evidence for several: dicts with frame, strength, strong, arms, types and optional fields.
 
@@ -170,7 +177,7 @@ def combine(cluster: Sequence[dict]) -> dict:
     if strong:
         lead = max(strong, key=lambda e: (e["strength"], -e["frame"]))
         weights = [max(e["strength"], 1e-6) for e in strong]
-        frame = round(sum(e["frame"] * w for e, w in zip(strong, weights, strict=True)) / sum(weights))
+        frame = round(plain_sum(e["frame"] * w for e, w in zip(strong, weights, strict=True)) / plain_sum(weights))
     else:
         lead = min(cluster, key=lambda e: e["frame"])
         frame = lead["frame"]
