@@ -53,3 +53,11 @@ def test_no_nested_loop_join_and_filters_reach_the_scan(spark):
         assert "NestedLoop" not in plan and "CartesianProduct" not in plan, name
     plan = QUERIES["completed_episodes"](spark, ROOT)._jdf.queryExecution().executedPlan().toString()
     assert "l_quantity" not in plan
+
+
+def test_receipts_of_more_journals_than_four_digits_number(spark, tmp_path):
+    spark.range(10_012).selectExpr("id AS l_suppkey", "id % 7 AS l_orderkey").write.parquet(f"{tmp_path}/lineitem.parquet")
+    c = duckdb.connect()
+    c.execute(f"create view lineitem as select * from '{tmp_path}/lineitem.parquet/*.parquet'")
+    want = Counter(c.execute(ORACLES["receipt_bundle"]).fetchall())
+    assert Counter(tuple(r) for r in QUERIES["receipt_bundle"](spark, str(tmp_path)).collect()) == want
