@@ -15,7 +15,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from segloom.llm.common import by_group, components, cut, discard, forest, groups_of, in_sides, lean, shuffle_width, text_bytes, whole_groups
+from segloom.llm.common import by_group, components, cut, discard, forest, groups_of, in_sides, lean, merged, shuffle_width, text_bytes, whole_groups
 
 #: Rows of one mask and key that are compared in one task; larger groups are split in blocks of about so many.
 BLOCK = 1024
@@ -113,7 +113,7 @@ def links(prints: DataFrame, radius: int = 4) -> DataFrame:
     many = keyed.groupBy("mask", "key").agg(F.count("*").alias("n")).where("n > 1")
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
     own = F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int")
-    split = keyed.join(many, ["mask", "key"]).withColumn("blocks", blocks).withColumn("own", own)
+    split = merged(keyed, many, ["mask", "key"]).withColumn("blocks", blocks).withColumn("own", own)
     split = split.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     # One integer names a mask, key and pair of blocks; two that fall together only make more pairs to compare.
     group = F.xxhash64("mask", "key", F.least("own", "other"), F.greatest("own", "other")).alias("group")
@@ -148,8 +148,8 @@ def near_duplicates(docs: DataFrame, radius: int = 4, width: int = 4, doc_id: st
     table = cut(fingerprint_table(docs, doc_id, text, width), "simhash")
     prints = cut(table.groupBy("fp").agg(F.min("doc_id").alias("node")), "prints")
     joined = components(links(prints.where("node is not null"), radius))
-    named = prints.join(joined, "node", "left").select("fp", F.coalesce("component", "node").alias("component_id"))
-    return table.join(named, "fp").select("doc_id", "fp", "component_id")
+    named = merged(prints, joined, "node", "left").select("fp", F.coalesce("component", "node").alias("component_id"))
+    return merged(table, named, "fp").select("doc_id", "fp", "component_id")
 
 
 def op5(spark, sf_dir: str) -> DataFrame:
@@ -361,32 +361,33 @@ def similar_documents(docs: DataFrame, width: int = 5, least: float = 0.8) -> Da
             yield pa.RecordBatch.from_arrays([b.column(0).filter(keep), b.column(1).filter(keep)], names=["src", "dst"])
 
     def sets_of(nodes: DataFrame) -> DataFrame:
-        return docs.join(nodes.select(F.col("node").alias("doc_id")).distinct(), "doc_id", "left_semi").mapInArrow(sets, "node long, shingles binary").dropDuplicates(["node"])
+        return merged(docs, nodes.select(F.col("node").alias("doc_id")).distinct(), "doc_id", "left_semi").mapInArrow(sets, "node long, shingles binary").dropDuplicates(["node"])
 
     table = cut(docs.mapInArrow(prefixes, "doc_id long, digest binary, size int, prefix binary, fp long, fp2 long"), "prefixes")
     nodes = cut(table.groupBy("digest").agg(F.min("doc_id").alias("node"), *[F.min(c).alias(c) for c in ("size", "prefix", "fp", "fp2")]).drop("digest"), "nodes")
     # Covering SimHash: fingerprints within the radius, one of each; and texts of one fingerprint with the first of them.
     prints = cut(nodes.groupBy("fp").agg(F.min("node").alias("node")), "prints")
-    twins = nodes.join(prints.withColumnRenamed("node", "first"), "fp").where("node > first").select(F.col("node").alias("src"), F.col("first").alias("dst"))
+    twins = merged(nodes, prints.withColumnRenamed("node", "first"), "fp").where("node > first").select(F.col("node").alias("src"), F.col("first").alias("dst"))
     pairs = cut(links(prints).unionByName(twins), "pairs")
     ends = pairs.select(F.col("src").alias("node")).unionByName(pairs.select(F.col("dst").alias("node")))
     shingles = cut(sets_of(ends), "shingles")
     left, right = (shingles.select(F.col("node").alias(c), F.col("shingles").alias(f"s_{c}")) for c in ("src", "dst"))
-    found = cut(pairs.join(left, "src").join(right, "dst").select("src", "dst", "s_src", "s_dst").mapInArrow(verify, "src long, dst long"), "links")
+    found = cut(merged(merged(pairs, left, "src"), right, "dst").select("src", "dst", "s_src", "s_dst").mapInArrow(verify, "src long, dst long"), "links")
     discard(prints, pairs, shingles)
     first = cut(components(found), "components")
     # The prefix filter: classes of nodes that share a key.
     flags = shared_keys(nodes.select(F.col("node").alias("doc_id"), F.col("prefix").alias("text")), keys_of, buckets).groupBy("doc_id").agg(F.collect_list("keys").alias("keys"))
-    keyed = nodes.join(flags.withColumnRenamed("doc_id", "node"), "node").select("node", "prefix", "keys")
+    keyed = merged(nodes, flags.withColumnRenamed("doc_id", "node"), "node").select("node", "prefix", "keys")
     keyed = cut(keyed.mapInArrow(rows, "key long, node long"), "keyed")
-    members = keyed.join(keyed.groupBy("key").agg(F.min("node").alias("class")), "key").select("class", "node").distinct()
-    members = members.join(nodes.drop("prefix"), "node").join(first, "node", "left").withColumn("part", F.coalesce("component", "node")).drop("component")
+    members = merged(keyed, keyed.groupBy("key").agg(F.min("node").alias("class")), "key").select("class", "node").distinct()
+    members = merged(merged(members, nodes.drop("prefix"), "node"), first, "node", "left").withColumn("part", F.coalesce("component", "node")).drop("component")
     members = cut(members, "members")
     some = cut(active(classed(members), least), "active")
     discard(keyed, members)
-    more = cut(similar_pairs(by_group(some.join(sets_of(some), "node")), least), "links")
+    more = cut(similar_pairs(by_group(merged(some, sets_of(some), "node")), least), "links")
     joined = components(first.select(F.col("node").alias("src"), F.col("component").alias("dst")).unionByName(more))
-    named = table.groupBy("digest").agg(F.min("doc_id").alias("node")).join(joined, "node", "left").select("digest", F.coalesce("component", "node").alias("component_id"))
-    out = cut(table.select("doc_id", "digest").join(named, "digest").select("doc_id", "component_id"), "similar")
+    named = table.groupBy("digest").agg(F.min("doc_id").alias("node"))
+    named = merged(named, joined, "node", "left").select("digest", F.coalesce("component", "node").alias("component_id"))
+    out = cut(merged(table.select("doc_id", "digest"), named, "digest").select("doc_id", "component_id"), "similar")
     discard(table, nodes, found, first, some, more)
     return out

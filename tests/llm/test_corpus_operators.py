@@ -734,3 +734,20 @@ def test_encoder_forgets_without_harm(monkeypatch):
         ids, at = of.texts(texts)
         for t, a, z in zip(texts.to_pylist(), at[:-1], at[1:], strict=True):
             assert ids[a:z].tolist() == of.tokenizer.encode(t or "", add_special_tokens=False).ids
+
+
+def test_growing_tables_are_never_broadcast(spark):
+    from pyspark.sql import functions as F
+
+    from segloom.llm.simhash import near_duplicates, similar_documents
+
+    words = [f"w{i}" for i in range(400)]
+    texts = [" ".join(words[i : i + 60]) for i in range(0, 300, 5)] + [" ".join([*words[i : i + 60], "more"]) for i in range(0, 300, 5)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    spark.conf.set("spark.sql.maxBroadcastTableSize", "1")  # a broadcast of anything fails
+    try:
+        assert near_duplicates(docs).agg(F.count("*")).first()[0] == 120
+        found = {r.doc_id: r.component_id for r in similar_documents(docs).collect()}
+    finally:
+        spark.conf.unset("spark.sql.maxBroadcastTableSize")
+    assert all(found[i] == found[i + 60] for i in range(60))
