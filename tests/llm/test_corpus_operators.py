@@ -751,3 +751,15 @@ def test_growing_tables_are_never_broadcast(spark):
     finally:
         spark.conf.unset("spark.sql.maxBroadcastTableSize")
     assert all(found[i] == found[i + 60] for i in range(60))
+
+
+def test_windows_beyond_two_to_the_24_places():
+    token = np.random.default_rng(8).integers(0, 2**63, 2**24 + 6000, dtype=np.uint64)
+    at = np.array([*range(0, 2**24, 2**20), 2**24 - 3000, 2**24 + 3000, len(token)])
+    part, *found = compact_windows.compact_windows(token, at, 2)
+    for i in (0, 7, len(at) - 3, len(at) - 2):
+        _, key, *places = compact_windows.compact_windows(token[at[i] : at[i + 1]], np.array([0, at[i + 1] - at[i]]), 2)
+        own = part == i
+        assert np.array_equal(found[0][own], key)
+        for x, y in zip(found[1:], places, strict=True):
+            assert np.array_equal(x[own], y + at[i])
