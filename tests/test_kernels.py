@@ -156,11 +156,11 @@ def test_contradictions():
 def test_weighted_frame_of_many_is_that_of_the_sql():
     import duckdb
 
-    rng = random.Random(4)
+    db, rng = duckdb.connect(), random.Random(4)
     for _ in range(300):
         c = [rng.randint(400, 1900) * 10 for _ in range(rng.randint(1, 6))]
         rows = [(60 * i + j, v / 1000) for i, v in enumerate(c) for j in range(60)]
         cluster = [{"frame": f, "strength": w, "strong": True, "types": (), "arms": ()} for f, w in rows]
         f, w = map(list, zip(*rows, strict=True))
-        want = duckdb.execute("SELECT round_even(list_sum(list_transform(list_zip($1::BIGINT[], $2::DOUBLE[]), lambda e: e[1] * e[2])) / list_sum($2::DOUBLE[]), 0)", [f, w]).fetchone()
-        assert kernels.combine(cluster)["frame"] == want[0]
+        want = db.execute("SELECT round_even(list_sum(list_transform(list_zip($1::BIGINT[], $2::DOUBLE[]), lambda e: e[1] * e[2])) / list_sum($2::DOUBLE[]), 0)", [f, w]).fetchall()
+        assert kernels.combine(cluster)["frame"] == want[0][0]

@@ -96,6 +96,6 @@ def test_half_even_rounding_is_that_of_the_sql(spark):
     import duckdb
 
     values = [k * 50 / 1e6 for k in range(-4001, 4001, 2)] + [k / 1e6 for k in range(-900_007, 900_000, 997)]
-    want = duckdb.sql(f"SELECT round_even(unnest({values}::DOUBLE[]), 4) AS r").fetchall()
+    want = duckdb.connect().execute(f"SELECT round_even(unnest({values}::DOUBLE[]), 4) AS r").fetchall()
     got = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i long, v double").orderBy("i").select(round_even(F.col("v"), 4).alias("r")).collect()
     assert [r.r for r in got] == [r[0] for r in want]
