@@ -763,3 +763,36 @@ def test_windows_beyond_two_to_the_24_places():
         assert np.array_equal(found[0][own], key)
         for x, y in zip(found[1:], places, strict=True):
             assert np.array_equal(x[own], y + at[i])
+
+
+def test_texts_with_any_number_of_matches_are_compared(monkeypatch):
+    rng = np.random.default_rng(12)
+    fresh = lambda n: rng.integers(0, 2**32, n).astype(np.uint32)
+    line, passage = fresh(10), fresh(60)
+    edited = passage.copy()
+    edited[[25, 40]] ^= 1
+    mine = np.concatenate([np.tile(line, 800), edited])
+    other = np.concatenate([np.tile(line, 1500), fresh(20_000), passage, fresh(50)])
+    assert sum(int((other == t).sum()) for t in line) * 800 > compact_windows.MATCHES
+    got = {x for a, b in compact_windows.verified(mine, 0, len(mine), other) for x in range(a, b)}
+    assert got == set(range(8060))
+    # All runs of TOKENS by brute force; what else is found is similar as a whole.
+    monkeypatch.setattr(compact_windows, "MATCHES", 0)
+    size = compact_windows.TOKENS
+    for seed, runs in ((0, 256), (1, 16), (2, 16), (3, 16)):
+        monkeypatch.setattr(compact_windows, "RUNS", runs)
+        monkeypatch.setattr(compact_windows, "FAR_RUNS", 2 * runs)
+        some = np.random.default_rng(seed)
+        mine, other = (some.integers(0, (9000, 60, 25, 400)[seed], n) for n in (260, 300))
+        mine[50:130] = other[100:180]
+        mine[50 + some.integers(0, 80, 3)] += 1
+        mine = np.concatenate([mine, np.tile(line, 12)])
+        other = np.concatenate([np.tile(line, 9 * (seed % 2)), other])
+        far = [set(other[c : c + size].tolist()) for c in range(len(other) - size + 1)]
+        want = set()
+        for a in range(len(mine) - size + 1):
+            own = set(mine[a : a + size].tolist())
+            if any(len(own & x) >= 0.8 * len(own | x) for x in far):
+                want |= set(range(a, a + size))
+        got = {x for a, b in compact_windows.aligned(mine, other) for x in range(a, b)}
+        assert len(want) > 40 and got >= want and len(got) <= len(want) + 10
