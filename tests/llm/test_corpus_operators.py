@@ -796,3 +796,31 @@ def test_texts_with_any_number_of_matches_are_compared(monkeypatch):
                 want |= set(range(a, a + size))
         got = {x for a, b in compact_windows.aligned(mine, other) for x in range(a, b)}
         assert len(want) > 40 and got >= want and len(got) <= len(want) + 10
+
+
+def test_copies_are_known_before_the_comparison(spark):
+    rng = random.Random(4)
+    one, two, short = prose(rng, 80, 10**6), prose(rng, 70, 10**6), "a short text"
+    rows = [(3, one), (7, one), (9, one), (9, two), (5, two + " tail"), (4, short), (8, short), (6, None), (10, None), (7, one)]
+    docs = frame(spark, [(i, t, "s") for i, t in rows])
+    with_text = docs.where("text is not null").select("doc_id", "text")
+    found = compact_windows.whole_copies(with_text)
+    assert {(r.doc_id, r.rep, r.lo) for r in found.collect()} == {(7, 3, 0), (8, 4, 0)}
+    got = {(r.doc_id, r.n_words): (r.n_removed, list(r.sources)) for r in compact_windows.deduplicate(docs).collect()}
+    assert got[3, 80] == (0, []) and got[7, 80] == (80, [3]) and got[9, 80][0] == 80 and got[9, 70][0] == 70
+    assert got[4, 3] == got[8, 3] == (0, []) and got[6, 0] == got[10, 0] == (0, [])
+    assert compact_windows.near_passages(with_text).where("doc_id = 7").first().spans[0].hi == compact_windows.END  # not compared
+
+
+def test_hot_tokens_are_counted_in_parts(monkeypatch):
+    """The documents of all rare tokens of a long document are never in memory at once."""
+    rng = np.random.default_rng(6)
+    shared = rng.integers(0, 2**32, 600).astype(np.uint32)
+    empty, planes = b"", shared_keys.planes
+    row = lambda i: {"node": i, "lo": planes(np.array([0]), 8), "size": planes(np.array([600]), 8), "token": rng.permutation(shared).tobytes(), "key": empty, "function": empty, "left": empty, "mid": empty, "right": empty}
+    docs = [compact_windows._Document(row(i)) for i in range(60)]
+    sizes, whole = [], np.bincount
+    monkeypatch.setattr(compact_windows, "AT_ONCE", 600)
+    monkeypatch.setattr(np, "bincount", lambda x, **k: sizes.append(len(x)) or whole(x, **k))
+    assert list(compact_windows.class_passages(docs, np.zeros(60, int), False)) == []
+    assert sizes and max(sizes) <= 600 + 60
