@@ -812,6 +812,45 @@ def test_copies_are_known_before_the_comparison(spark):
     assert compact_windows.near_passages(with_text).where("doc_id = 7").first().spans[0].hi == compact_windows.END  # not compared
 
 
+def test_known_tokens_are_not_compared_again(monkeypatch):
+    """What is found beside the known tokens is the same, and runs that failed are not tried again."""
+    rng = np.random.default_rng(12)
+    tried, whole = [], compact_windows.similar
+    monkeypatch.setattr(compact_windows, "similar", lambda x, y: tried.append((x.tobytes(), y.tobytes())) or whole(x, y))
+    seen = lambda got: {x for a, b in got for x in range(a, b)}
+    counts = {False: 0, True: 0}
+    for _ in range(30):
+        line = rng.integers(0, 400, 60)
+        other = np.concatenate([line, rng.integers(0, 400, 40), line[::-1], rng.integers(0, 400, 200)])
+        mine = np.concatenate([other[100:160], rng.integers(0, 400, 30), line, other[180:300]])
+        edit = rng.integers(0, len(mine), 25)
+        mine[edit] = rng.integers(0, 400, 25)
+        known = np.zeros(len(mine), bool)
+        known[:150] = True
+        for f in (compact_windows.aligned, lambda x, y, *k: compact_windows.verified(x.astype(np.uint32), 0, len(x), y.astype(np.uint32), *k)):
+            tried.clear()
+            full = seen(f(mine, other))
+            counts[False] += len(tried)
+            assert len(set(tried)) == len(tried) or f is not compact_windows.aligned
+            tried.clear()
+            some = seen(f(mine, other, known))
+            counts[True] += len(tried)
+            assert full >= some and full | {*range(150)} == some | {*range(150)}
+    assert 0 < counts[True] < counts[False]
+
+
+def test_keys_need_no_trees_and_documents_no_broadcast(spark, monkeypatch):
+    rng = random.Random(13)
+    text = pa.array([prose(rng, 300, 10**6).encode() for _ in range(5)])
+    full = [(w.row, w.key) for w, _, _ in compact_windows.windows_of(text)]
+    monkeypatch.setattr(compact_windows, "_tree", None)
+    row, key = compact_windows.keys_of(text)
+    assert np.array_equal(row, np.concatenate([x for x, _ in full])) and np.array_equal(key, np.concatenate([x for _, x in full]))
+    monkeypatch.undo()
+    out = compact_windows.deduplicate(frame(spark, [(i, prose(rng, 80, 10**6), "s") for i in range(4)]))
+    assert "BroadcastHashJoin" not in out._jdf.queryExecution().toString()
+
+
 def test_hot_tokens_are_counted_in_parts(monkeypatch):
     """The documents of all rare tokens of a long document are never in memory at once."""
     rng = np.random.default_rng(6)
